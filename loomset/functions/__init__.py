@@ -14,6 +14,7 @@ from loomset.functions.chat import (
 )
 from loomset.functions.pytext import (
     PYTHON_WHITESPACE,
+    may_not_be_string,
     py_strip,
     truthy_variant_text,
     typed_text,
@@ -26,6 +27,7 @@ __all__ = [
     "ROLES",
     "Renderer",
     "evaluate_once",
+    "may_not_be_string",
     "message",
     "prepend_system_prompt",
     "py_strip",

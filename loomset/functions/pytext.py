@@ -19,6 +19,8 @@ PYTHON_WHITESPACE = (
 # How a false, zero or empty non-string reads after variant_text().
 FALSY_TEXTS = ("False", "0", "0.0", "-0.0", "[]", "{}")
 
+BIGINT_DIGITS = 19
+
 
 def py_strip(text: Column) -> Column:
     """``str.strip()``: Spark's own ``trim`` removes only U+0020."""
@@ -31,26 +33,51 @@ def variant_text(value: Column) -> Column:
     Strings, integers, booleans and plain decimals read as in Python.  Nested
     values are compact JSON, and numbers in exponent form keep Spark's text.
     """
-    text = F.try_variant_get(value, "$", "string")
-    kind = F.schema_of_variant(value)
+    # The common case comes first: reading a long string is the costly part, and
+    # this way it happens once.
+    return F.when(_is_string(value), _text(value)).otherwise(_other_text(value))
+
+
+def truthy_variant_text(value: Column) -> Column:
+    """Like :func:`variant_text`, but NULL for a value that Python calls false."""
+    other = _other_text(value)
+    return F.when(_is_string(value), F.when(_text(value) != "", _text(value))).when(
+        ~other.isin(*FALSY_TEXTS), other
+    )
+
+
+def _is_string(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _other_text(value: Column) -> Column:
+    kind, text = F.schema_of_variant(value), _text(value)
     return (
-        F.when(kind == "STRING", text)
-        .when(kind == "BOOLEAN", F.initcap(text))
+        F.when(kind == "BOOLEAN", F.initcap(text))
+        # A float without fraction; integers too long for BIGINT are DECIMAL too.
         .when(
-            kind.startswith("DECIMAL") & ~F.contains(text, F.lit(".")),
+            kind.startswith("DECIMAL")
+            & ~F.contains(text, F.lit("."))
+            & (F.length(text) < BIGINT_DIGITS),
             F.concat(text, F.lit(".0")),
         )
         .otherwise(text)
     )
 
 
-def truthy_variant_text(value: Column) -> Column:
-    """Like :func:`variant_text`, but NULL for a value that Python calls false."""
-    text = variant_text(value)
-    falsy = (text == "") | (
-        (F.schema_of_variant(value) != "STRING") & text.isin(*FALSY_TEXTS)
-    )
-    return F.when(~falsy, text)
+def may_not_be_string(text: Column) -> Column:
+    """Could this text, cast from JSON, stem from something else than a string?
+
+    False for NULL and for nearly all texts, after a look at the first character.
+    """
+    first = F.ascii(text)
+    number = first.between(ord("-"), ord("9")) & text.rlike(r"^-?[0-9][0-9.E-]*$")
+    nested = first.isin(ord("["), ord("{"))
+    return F.coalesce(nested | text.isin("true", "false") | number, F.lit(False))
 
 
 def typed_text(value: Column, type_name: str) -> Column:

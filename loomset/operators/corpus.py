@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomset.functions import evaluate_once
+from loomset.functions import evaluate_once, may_not_be_string
 from loomset.operators import codes
 from loomset.operators.messages import error
-
-_JSON = "_row_json"
+from loomset.operators.rows import read_json
 
 
 def corpus_text(
@@ -24,23 +23,13 @@ def corpus_text(
     keep = [name for name in df.columns if name != text_field]
     if value not in df.columns:
         return _typed_corpus_text(df, keep, text_field)
-    is_text = isinstance(df.schema[value].dataType, T.StringType)
-    parsed = df.withColumn(_JSON, F.try_parse_json(value) if is_text else F.col(value))
-    row = F.col(_JSON)
-    field = F.try_variant_get(row, f"$['{text_field}']", "variant")
-    code = (
-        F.when(row.isNull(), codes.BAD_JSON)
-        .when(
-            field.isNull() & ~F.schema_of_variant(row).startswith("OBJECT"),
-            codes.NOT_A_MAPPING,
-        )
-        .when(F.coalesce(F.schema_of_variant(field), F.lit("")) != "STRING", codes.CORPUS_TEXT)
-    )
-    read = parsed.select(
-        *keep,
-        code.alias("_code"),
-        F.try_variant_get(row, f"$['{text_field}']", "string").alias("_text"),
-    )
+    read, row = read_json(df, {text_field: "string"}, value)
+    text = row.text(text_field)
+    is_string = F.when(
+        may_not_be_string(text), F.schema_of_variant(row.json(text_field)) == "STRING"
+    ).otherwise(text.isNotNull())
+    code = F.coalesce(row.error(), F.when(~is_string, codes.CORPUS_TEXT))
+    read = read.select(*keep, code.alias("_code"), text.alias("_text"))
     return evaluate_once(
         read,
         keep,

@@ -16,13 +16,12 @@ JSON lines and typed tables share all of the logic behind it:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions import (
+    may_not_be_string,
     py_strip,
     truthy_variant_text,
     typed_text,
@@ -37,42 +36,107 @@ PREFERENCE_KEYS = ("prompt", "instruction", "context", "chosen", "rejected")
 # The keys whose value counts only when Python calls it true.
 _TRUTHY_KEYS = ("context",)
 
-_JSON = "_row_json"
+# Internal columns: the parsed line and its known fields as text.
+_JSON, _FIELDS = "_row_json", "_row_fields"
+
+_TURNS_TYPE = "array<struct<role:string,content:string>>"
+
+
+class JsonRow:
+    """The columns that :func:`read_json` adds, and what can be asked of them."""
+
+    def __init__(self, root: str):
+        self._root = root
+
+    def text(self, key: str) -> Column:
+        """The field cast to text; NULL for an absent key and for a JSON null."""
+        return F.col(f"{_FIELDS}.{_quoted(key)}")
+
+    def json(self, key: str, as_type: str = "variant") -> Column:
+        """The field itself.  Reading it costs a copy, so ask for it lazily."""
+        return F.try_variant_get(_JSON, f"{self._root}[{_path_key(key)}]", as_type)
+
+    def present(self, key: str) -> Column:
+        # Not an "or": its second half would count as always needed, and then
+        # Catalyst shares the copy with every other use of json(key).
+        return F.when(self.text(key).isNull(), self.json(key).isNotNull()).otherwise(
+            F.lit(True)
+        )
+
+    def error(self) -> Column:
+        """Why the row is not one JSON object, or NULL."""
+        broken = F.col(_JSON).isNull()
+        if self._root != "$":
+            broken |= F.try_variant_get(_JSON, "$.end", "int").isNull()
+        return F.when(broken, codes.BAD_JSON).when(
+            F.col(_FIELDS).isNull(), codes.NOT_A_MAPPING
+        )
+
+
+def read_json(df: DataFrame, field_types: dict[str, str], value: str) -> tuple[DataFrame, JsonRow]:
+    """Parse the JSON text or VARIANT ``value`` once and cast the known fields.
+
+    A line is parsed inside ``{"row": <line>, "end": 0}``: the parser stops after
+    the first JSON value, so a second value on the same line would go unseen, but
+    here it hides ``end``.
+    """
+    if isinstance(df.schema[value].dataType, T.StringType):
+        root = "$.row"
+        parsed = F.try_parse_json(
+            F.concat(F.lit('{"row":'), F.col(value), F.lit(',"end":0}'))
+        )
+    else:
+        root, parsed = "$", F.col(value)
+    wanted = ",".join(f"{_quoted(key)}:{name}" for key, name in field_types.items())
+    read = df.select("*", parsed.alias(_JSON)).select(
+        "*", F.try_variant_get(_JSON, root, f"struct<{wanted}>").alias(_FIELDS)
+    )
+    return read, JsonRow(root)
 
 
 def open_json_rows(df: DataFrame, keys: tuple[str, ...], value: str = "value") -> DataFrame:
     """Add ``fields`` to rows that hold one JSON text (or VARIANT) each.
 
-    The text is parsed once per row.  A key that is present with a JSON null is
-    told apart from a key that is absent.
+    A key that is present with a JSON null is told apart from a key that is
+    absent.  Nearly all values are plain strings, which the one cast in
+    :func:`read_json` reads; only where its text could come from another JSON type
+    is the field looked at again.
     """
-    is_text = isinstance(df.schema[value].dataType, T.StringType)
-    parsed = df.withColumn(_JSON, F.try_parse_json(value) if is_text else F.col(value))
-    row = F.col(_JSON)
-
-    def get(key: str) -> Column:
-        return F.try_variant_get(row, f"$.{key}", "variant")
+    types = {"messages": _TURNS_TYPE, **dict.fromkeys(keys, "string")}
+    read, row = read_json(df, types, value)
 
     def scalar(key: str) -> Column:
-        text = truthy_variant_text if key in _TRUTHY_KEYS else variant_text
-        return _scalar(get(key).isNotNull(), text(get(key)))
-
-    turns = F.transform(
-        F.try_variant_get(row, "$.messages", "array<variant>"), _json_turn
+        text = row.text(key)
+        if key in _TRUTHY_KEYS:
+            exact = truthy_variant_text(row.json(key))
+            text_or_null = F.when(text != "", text)
+        else:
+            exact, text_or_null = variant_text(row.json(key)), text
+        exact_text = F.when(may_not_be_string(text), exact).otherwise(text_or_null)
+        return _scalar(row.present(key), exact_text)
+
+    turns = row.text("messages")
+    plain = F.forall(
+        turns,
+        lambda t: valid_role(py_strip(t["role"]))
+        & t["content"].isNotNull()
+        & ~may_not_be_string(t["content"]),
     )
-    has_known_key = reduce(
-        lambda a, b: a | b, [get(key).isNotNull() for key in ("messages", *keys)]
+    plain_turns = F.transform(
+        turns, lambda t, i: _turn(F.lit(True), t["role"], t["content"], F.lit(False), i)
     )
-    row_error = F.when(row.isNull(), codes.BAD_JSON).when(
-        ~has_known_key & ~F.schema_of_variant(row).startswith("OBJECT"),
-        codes.NOT_A_MAPPING,
+    # An element that is not an object reads as NULL.
+    exact_turns = F.transform(
+        row.json("messages", "array<struct<role:variant,content:variant>>"), _json_turn
     )
     fields = F.struct(
-        row_error.alias("row_error"),
+        row.error().alias("row_error"),
         *[scalar(key).alias(key) for key in keys],
-        _messages(get("messages").isNotNull(), turns).alias("messages"),
+        _messages(
+            row.present("messages"), F.when(plain, plain_turns).otherwise(exact_turns)
+        ).alias("messages"),
     )
-    return parsed.select(*df.columns, fields.alias("fields"))
+    return read.select(*df.columns, fields.alias("fields"))
 
 
 def open_table_rows(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -105,6 +169,14 @@ def open_rows(df: DataFrame, keys: tuple[str, ...], value: str = "value") -> Dat
     return open_table_rows(df, keys)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _path_key(key: str) -> str:
+    return '"' + key + '"' if "'" in key else "'" + key + "'"
+
+
 def _scalar(present: Column, text: Column) -> Column:
     return F.struct(present.alias("present"), text.alias("text"))
 
@@ -114,12 +186,12 @@ def _messages(present: Column, turns: Column) -> Column:
 
 
 def _json_turn(turn: Column, index: Column) -> Column:
-    role = F.try_variant_get(turn, "$.role", "variant")
-    content = F.try_variant_get(turn, "$.content", "variant")
+    role, content = turn["role"], turn["content"]
     return _turn(
         role.isNotNull() & content.isNotNull(),
         F.try_variant_get(role, "$", "string"),
         variant_text(content),
+        F.is_variant_null(content),
         index,
     )
 
@@ -139,23 +211,27 @@ def _table_messages(data_type: T.DataType | None) -> Column:
 
     def turn(item: Column, index: Column) -> Column:
         if not readable:
-            return _turn(F.lit(False), F.lit(None), F.lit(None), index)
+            nothing = F.lit(None).cast("string")
+            return _turn(F.lit(False), nothing, nothing, F.lit(False), index)
         role, content = item["role"].cast("string"), item["content"].cast("string")
-        return _turn(role.isNotNull() & content.isNotNull(), role, content, index)
+        has_keys = role.isNotNull() & content.isNotNull()
+        return _turn(has_keys, role, content, F.lit(False), index)
 
     return _messages(present, F.transform(F.col("messages"), turn))
 
 
-def _turn(has_keys: Column, role: Column, content: Column, index: Column) -> Column:
-    role = py_strip(role.cast("string"))
+def _turn(
+    has_keys: Column, role: Column, content: Column, null_content: Column, index: Column
+) -> Column:
+    role = py_strip(role)
     problem = (
         F.when(~has_keys, codes.MESSAGE_KEYS)
         .when(~valid_role(role), codes.INVALID_ROLE)
-        .when(content.isNull(), codes.NULL_FIELD)
+        .when(null_content, codes.NULL_FIELD)
     )
     return F.struct(
         role.alias("role"),
-        content.cast("string").alias("content"),
+        content.alias("content"),
         problem.alias("problem"),
         index.alias("index"),
     )

@@ -7,11 +7,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loomset.functions import render_chatml, template_renderer, variant_text
+from loomset.functions import render_chatml, template_renderer
 from loomset.operators.corpus import corpus_text
 from loomset.operators.preference import to_preference_examples
 from loomset.operators.quality import fail_on_error
@@ -174,10 +173,7 @@ def labelled_rows(
         return _with_split(train, "train")
 
     good = F.col("error_code").isNull()
-    if options.key_field:
-        key = F.col("_key")
-    else:
-        key = F.col("_line")
+    key = F.col("_key" if options.key_field else "_line")
     keyed = train.withColumn(
         SPLIT_KEY, F.when(good, split_key(key, seed, tie_break=F.col("row_id")))
     )
@@ -219,18 +215,22 @@ def by_split(
 def _transformed(
     spark: SparkSession, recipe: Recipe, path: str | list[str], options: ReadOptions
 ) -> DataFrame:
-    scan = scan_json if options.json_documents else scan_jsonl
-    rows = scan(spark, path)
-    rows = rows.withColumn("_line", _as_text(rows, "value"))
+    rows = (scan_json if options.json_documents else scan_jsonl)(spark, path)
+    # The line is kept beside the transformed columns as the row's identity.
+    line = F.to_json("value") if options.json_documents else F.col("value")
+    rows = rows.withColumn("_line", line)
+    keys = ["_line"]
     if options.key_field:
-        rows = rows.withColumn("_key", _key_text(rows, options.key_field))
+        # Rows without the key fall back to their whole text.
+        key = F.get_json_object("_line", f"$['{options.key_field}']")
+        rows = rows.withColumn("_key", F.coalesce(key, F.col("_line")))
+        keys.append("_key")
     rows = recipe.transform(rows)
     if options.on_error == "fail":
         rows = fail_on_error(rows)
     code = F.col("error.code")
     if recipe.non_empty:
         rows = rows.where(code.isNotNull() | (F.length(recipe.non_empty) > 0))
-    keys = ["_line", *(["_key"] if options.key_field else [])]
     return rows.select(
         *recipe.columns,
         "source_file",
@@ -246,18 +246,3 @@ def _with_split(rows: DataFrame, name: str) -> DataFrame:
     split = F.when(F.col("error_code").isNull(), name).otherwise("quarantine")
     return rows.withColumn("split", split).drop("_key", "_line")
 
-
-def _as_text(rows: DataFrame, value: str) -> Column:
-    if isinstance(rows.schema[value].dataType, T.StringType):
-        return F.col(value)
-    return F.to_json(value)
-
-
-def _key_text(rows: DataFrame, key_field: str) -> Column:
-    """The key field's text; rows without one fall back to their whole text."""
-    if isinstance(rows.schema["value"].dataType, T.StringType):
-        return F.coalesce(
-            F.get_json_object("value", f"$['{key_field}']"), F.col("value")
-        )
-    key = F.try_variant_get("value", f"$['{key_field}']", "variant")
-    return F.coalesce(variant_text(key), F.to_json("value"))
