@@ -52,19 +52,20 @@ def scan_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def discover_corpus(spark: SparkSession, root: str, file_name: str) -> str:
-    """Path of the file called ``file_name`` anywhere below ``root``.
+def discover_corpus(spark: SparkSession, root: str, name: str) -> str:
+    """Path of the file called ``name`` anywhere below ``root``.
 
-    Only the listing is read.  With several hits the smallest path wins.
+    A directory of that name, as Spark writes it, is found as well.  Only the
+    listing is read.  With several hits the smallest path wins.
     """
-    hits = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_name)
-        .text(root)
-        .inputFiles()
-    )
+    below = spark.read.option("recursiveFileLookup", True)
+    hits = below.option("pathGlobFilter", name).text(root).inputFiles()
+    if not hits:
+        marker = f"/{name}/"
+        listed = below.option("pathGlobFilter", "*").text(root).inputFiles()
+        hits = [path[: path.index(marker) + len(marker) - 1] for path in listed if marker in path]
     if not hits:
-        raise FileNotFoundError(f"{file_name} not found below {root}")
+        raise FileNotFoundError(f"{name} not found below {root}")
     return min(hits)
 
 
