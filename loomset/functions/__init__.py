@@ -1,6 +1,6 @@
 """Column expressions."""
 
-from loomset.functions.barrier import evaluate_once
+from loomset.functions.barrier import bind, evaluate_once
 from loomset.functions.chat import (
     MESSAGES_TYPE,
     ROLES,
@@ -26,6 +26,7 @@ __all__ = [
     "PYTHON_WHITESPACE",
     "ROLES",
     "Renderer",
+    "bind",
     "evaluate_once",
     "may_not_be_string",
     "message",

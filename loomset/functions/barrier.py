@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,12 @@ def evaluate_once(df: DataFrame, keep: list[str], **exprs: Column) -> DataFrame:
     """
     fields = F.struct(*[expr.alias(name) for name, expr in exprs.items()])
     return df.select(*keep, F.inline(F.array(fields)))
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used.
+
+    Inside one branch of a ``CASE`` Catalyst repeats a shared expression, so a
+    costly one is handed over as the argument of a lambda.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))

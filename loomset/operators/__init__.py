@@ -13,7 +13,6 @@ from loomset.operators.quality import (
     quarantined,
 )
 from loomset.operators.render import format_examples
-from loomset.operators.rows import open_json_rows, open_rows, open_table_rows
 from loomset.operators.split import assign_split, find_cut, holdout_split, split_key
 
 __all__ = [
@@ -27,9 +26,6 @@ __all__ = [
     "find_cut",
     "format_examples",
     "holdout_split",
-    "open_json_rows",
-    "open_rows",
-    "open_table_rows",
     "profile_keys",
     "quarantined",
     "split_key",

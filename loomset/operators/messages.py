@@ -1,105 +1,136 @@
 """Rows to chat messages.
 
-Each function adds columns to rows opened by :mod:`loomset.operators.rows` and is
-meant for ``df.transform(...)``.
+The functions that take ``fields`` build the expressions of one row out of the
+columns in :class:`loomset.operators.rows.RowFields`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.functions import MESSAGES_TYPE, evaluate_once, message, prepend_system_prompt
+from loomset.functions import MESSAGES_TYPE, bind, evaluate_once, message, prepend_system_prompt
 from loomset.operators import codes
-from loomset.operators.rows import SFT_KEYS, open_rows
+from loomset.operators.rows import SFT_KEYS, RowFields, open_rows
 
 
-def detect_sft_schema() -> Column:
-    """``messages``, ``instruction``, ``prompt_completion`` or NULL; first wins."""
-    return (
-        F.when(F.col("fields.messages.present"), "messages")
-        .when(F.col("fields.instruction.present"), "instruction")
-        .when(
-            F.col("fields.prompt.present") & F.col("fields.completion.present"),
-            "prompt_completion",
-        )
+def error(code: Column | str | None, index: Column | None = None) -> Column:
+    """One error value; NULL code for a good row."""
+    code = F.lit(code) if code is None or isinstance(code, str) else code
+    index = F.lit(None) if index is None else index
+    return F.struct(code.cast("string").alias("code"), index.cast("int").alias("index"))
+
+
+def turns_error(turns: Column) -> Column:
+    """Error of the row's own turns; the first bad turn counts."""
+    bad = F.filter(turns, lambda t: t["problem"].isNotNull())
+    return F.when(
+        turns.isNull() | (F.size(turns) == 0), error(codes.MESSAGES_EMPTY)
+    ).otherwise(
+        bind(F.get(bad, F.lit(0)), lambda first: error(first["problem"], first["index"]))
     )
 
 
-def normalized_messages() -> Column:
+def normalized_turns(turns: Column) -> Column:
     """The row's own turns with stripped roles and without extra keys."""
-    return F.transform(
-        F.col("fields.messages.turns"), lambda t: message(t["role"], t["content"])
-    )
+    return F.transform(turns, lambda t: message(t["role"], t["content"]))
 
 
-def instruction_text() -> Column:
+def instruction_text(fields: RowFields) -> Column:
     """The instruction, followed by the context when there is one."""
-    instruction, context = F.col("fields.instruction.text"), F.col("fields.context.text")
+    instruction, context = fields.text("instruction"), fields.text("context")
     return F.when(
         context.isNotNull(), F.concat(instruction, F.lit("\n\n"), context)
     ).otherwise(instruction)
 
 
-def response_text() -> Column:
+def response_text(fields: RowFields) -> Column:
     """``response`` when the row has that key, else ``output``."""
-    return F.when(
-        F.col("fields.response.present"), F.col("fields.response.text")
-    ).otherwise(F.col("fields.output.text"))
+    return F.when(fields.present("response"), fields.text("response")).otherwise(
+        fields.text("output")
+    )
 
 
-def instruction_messages() -> Column:
-    """Two turns from an instruction row."""
-    return F.array(
-        message("user", instruction_text()), message("assistant", response_text())
-    )
+def null_error(*texts: Column) -> Column:
+    """``NULL_FIELD`` when one of the texts is NULL."""
+    some_null = F.lit(False)
+    for text in texts:
+        some_null |= text.isNull()
+    return error(F.when(some_null, codes.NULL_FIELD))
 
 
-def prompt_completion_messages() -> Column:
-    """Two turns from a prompt/completion row."""
-    return F.array(
-        message("user", F.col("fields.prompt.text")),
-        message("assistant", F.col("fields.completion.text")),
-    )
+def two_turns(user: Column, assistant: Column) -> Column:
+    return F.array(message("user", user), message("assistant", assistant))
 
 
-def messages_error() -> Column:
-    """``struct<code, index>`` for the row's own turns; the first bad turn counts."""
-    turns = F.col("fields.messages.turns")
-    first_bad = F.get(F.filter(turns, lambda t: t["problem"].isNotNull()), F.lit(0))
-    return F.when(
-        turns.isNull() | (F.size(turns) == 0), error(codes.MESSAGES_EMPTY)
-    ).otherwise(error(first_bad["problem"], first_bad["index"]))
+def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column:
+    """``struct<schema_kind, error, result>`` of an SFT row.
+
+    The schema is found by the keys that the row carries: ``messages`` goes before
+    ``instruction``, and that before ``prompt`` with ``completion``.  ``finish``
+    makes the result out of the messages.
+    """
 
+    def outcome(kind: str | None, row_error: Column, messages: Column) -> Column:
+        return F.struct(
+            F.lit(kind).cast("string").alias("schema_kind"),
+            row_error.alias("error"),
+            finish(messages.cast(MESSAGES_TYPE)).alias("result"),
+        )
 
-def sft_error() -> Column:
-    """``struct<code, index>`` of an SFT row; the code is NULL for a good row."""
-    kind = detect_sft_schema()
-    prompt, completion = F.col("fields.prompt.text"), F.col("fields.completion.text")
+    nothing = F.lit(None)
+    prompt, completion = fields.text("prompt"), fields.text("completion")
+    answer_error = F.when(
+        response_text(fields).isNull(), error(codes.MISSING_RESPONSE)
+    ).otherwise(null_error(fields.text("instruction")))
     return (
-        F.when(F.col("fields.row_error").isNotNull(), error(F.col("fields.row_error")))
-        .when(kind == "messages", messages_error())
+        F.when(fields.row_error.isNotNull(), outcome(None, error(fields.row_error), nothing))
         .when(
-            kind == "instruction",
-            error(
-                F.when(response_text().isNull(), codes.MISSING_RESPONSE).when(
-                    F.col("fields.instruction.text").isNull(), codes.NULL_FIELD
-                )
+            fields.has_messages,
+            bind(
+                fields.turns,
+                lambda turns: bind(
+                    normalized_turns(turns),
+                    lambda messages: outcome("messages", turns_error(turns), messages),
+                ),
             ),
         )
         .when(
-            kind == "prompt_completion",
-            error(F.when(prompt.isNull() | completion.isNull(), codes.NULL_FIELD)),
+            fields.present("instruction"),
+            outcome(
+                "instruction",
+                answer_error,
+                two_turns(instruction_text(fields), response_text(fields)),
+            ),
+        )
+        .when(
+            fields.present("prompt") & fields.present("completion"),
+            outcome(
+                "prompt_completion",
+                null_error(prompt, completion),
+                two_turns(prompt, completion),
+            ),
         )
-        .otherwise(error(codes.UNKNOWN_SCHEMA))
+        .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA), nothing))
     )
 
 
-def error(code: Column | str, index: Column | None = None) -> Column:
-    """One error value."""
-    code = F.lit(code) if isinstance(code, str) else code
-    index = F.lit(None) if index is None else index
-    return F.struct(code.cast("string").alias("code"), index.cast("int").alias("index"))
+def sft_rows(
+    df: DataFrame, finish: Callable[[Column], Column], result: str, value: str = "value"
+) -> DataFrame:
+    """Add ``schema_kind``, ``error`` and the result, NULL where ``error`` is set."""
+    opened, fields = open_rows(df, SFT_KEYS, value)
+    keep = [name for name in df.columns if name not in ("messages", result)]
+    outcome = F.col("_outcome")
+    return evaluate_once(
+        opened.select(*keep, sft_outcome(fields, finish).alias("_outcome")),
+        keep,
+        schema_kind=outcome["schema_kind"],
+        error=outcome["error"],
+        **{result: F.when(outcome["error"]["code"].isNull(), outcome["result"])},
+    )
 
 
 def to_chat_messages(
@@ -110,24 +141,6 @@ def to_chat_messages(
     ``messages`` is NULL exactly where ``error.code`` is set.  Rows are kept, so
     that the caller can set the bad ones aside.
     """
-    opened = open_rows(df, SFT_KEYS, value)
-    kind = detect_sft_schema()
-    messages = prepend_system_prompt(F.col("_messages"), system_prompt)
-    # Two steps, so that the system turn does not repeat the assembly.
-    assembled = opened.select(
-        *df.columns,
-        kind.alias("schema_kind"),
-        sft_error().alias("error"),
-        F.when(kind == "messages", normalized_messages())
-        .when(kind == "instruction", instruction_messages())
-        .when(kind == "prompt_completion", prompt_completion_messages())
-        .cast(MESSAGES_TYPE)
-        .alias("_messages"),
-    )
-    return evaluate_once(
-        assembled,
-        [name for name in df.columns if name != "messages"],
-        schema_kind=F.col("schema_kind"),
-        error=F.col("error"),
-        messages=F.when(F.col("error.code").isNull(), messages),
+    return sft_rows(
+        df, lambda messages: prepend_system_prompt(messages, system_prompt), "messages", value
     )

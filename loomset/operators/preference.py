@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomset.functions import (
     MESSAGES_TYPE,
     Renderer,
+    bind,
     evaluate_once,
     message,
     prepend_system_prompt,
@@ -17,53 +20,68 @@ from loomset.operators import codes
 from loomset.operators.messages import (
     error,
     instruction_text,
-    messages_error,
-    normalized_messages,
+    normalized_turns,
+    null_error,
+    turns_error,
 )
-from loomset.operators.rows import PREFERENCE_KEYS, open_rows
+from loomset.operators.rows import PREFERENCE_KEYS, RowFields, open_rows
 
 
-def detect_preference_schema() -> Column:
-    """``messages``, ``prompt``, ``instruction`` or NULL; first wins.
+def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column:
+    """``struct<schema_kind, error, result>`` of a preference row.
 
-    The order differs from the SFT one: a prompt goes before an instruction.
+    The two answers are required before the prompt's schema is looked at.  The
+    order differs from the SFT one: ``messages``, ``prompt``, ``instruction``.
     """
-    return (
-        F.when(F.col("fields.messages.present"), "messages")
-        .when(F.col("fields.prompt.present"), "prompt")
-        .when(F.col("fields.instruction.present"), "instruction")
-    )
 
+    def outcome(kind: str | None, row_error: Column, messages: Column) -> Column:
+        return F.struct(
+            F.lit(kind).cast("string").alias("schema_kind"),
+            row_error.alias("error"),
+            finish(messages.cast(MESSAGES_TYPE)).alias("result"),
+        )
 
-def preference_error() -> Column:
-    """``struct<code, index>`` of a preference row; NULL code for a good row.
+    def user(text: Column) -> Column:
+        return F.array(message("user", text))
 
-    The two answers are required before the prompt's schema is looked at.
-    """
-    kind = detect_preference_schema()
-    chosen, rejected = F.col("fields.chosen"), F.col("fields.rejected")
-    null_answer = chosen["text"].isNull() | rejected["text"].isNull()
-    prompt_error = (
-        F.when(kind == "messages", messages_error())
-        .when(
-            kind == "prompt",
-            error(F.when(F.col("fields.prompt.text").isNull(), codes.NULL_FIELD)),
+    nothing = F.lit(None)
+    answers = fields.text("chosen"), fields.text("rejected")
+
+    def messages_error(turns: Column) -> Column:
+        return bind(
+            turns_error(turns),
+            lambda own: F.when(own["code"].isNotNull(), own).otherwise(null_error(*answers)),
         )
+
+    return (
+        F.when(fields.row_error.isNotNull(), outcome(None, error(fields.row_error), nothing))
         .when(
-            kind == "instruction",
-            error(F.when(F.col("fields.instruction.text").isNull(), codes.NULL_FIELD)),
+            fields.has_messages,
+            bind(
+                fields.turns,
+                lambda turns: bind(
+                    normalized_turns(turns),
+                    lambda messages: outcome("messages", messages_error(turns), messages),
+                ),
+            ),
         )
-        .otherwise(error(codes.UNKNOWN_SCHEMA))
-    )
-    return (
-        F.when(F.col("fields.row_error").isNotNull(), error(F.col("fields.row_error")))
         .when(
-            ~(chosen["present"] & rejected["present"]), error(codes.PREF_MISSING_FIELDS)
+            fields.present("prompt"),
+            outcome(
+                "prompt",
+                null_error(fields.text("prompt"), *answers),
+                user(fields.text("prompt")),
+            ),
         )
         .when(
-            prompt_error["code"].isNull() & null_answer, error(codes.NULL_FIELD)
+            fields.present("instruction"),
+            outcome(
+                "instruction",
+                null_error(fields.text("instruction"), *answers),
+                user(instruction_text(fields)),
+            ),
         )
-        .otherwise(prompt_error)
+        .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA), nothing))
     )
 
 
@@ -78,39 +96,46 @@ def to_preference_examples(
     The prompt always ends with a generation prompt; the answers stay raw text.
     The three texts are NULL exactly where ``error.code`` is set.
     """
-    kind = detect_preference_schema()
     keep = [
         name
         for name in df.columns
         if name not in ("messages", "prompt", "chosen", "rejected")
     ]
-    assembled = open_rows(df, PREFERENCE_KEYS, value).select(
+    in_python = getattr(renderer, "in_python", False)
+
+    def finish(messages: Column) -> Column:
+        messages = prepend_system_prompt(messages, system_prompt)
+        return messages if in_python else renderer(messages, True)
+
+    opened, fields = open_rows(df, PREFERENCE_KEYS, value)
+    read = opened.select(
         *keep,
-        kind.alias("schema_kind"),
-        preference_error().alias("error"),
-        F.when(kind == "messages", normalized_messages())
-        .when(kind == "prompt", F.array(message("user", F.col("fields.prompt.text"))))
-        .when(kind == "instruction", F.array(message("user", instruction_text())))
-        .cast(MESSAGES_TYPE)
-        .alias("_messages"),
-        F.col("fields.chosen.text").alias("_chosen"),
-        F.col("fields.rejected.text").alias("_rejected"),
+        preference_outcome(fields, finish).alias("_outcome"),
+        (fields.present("chosen") & fields.present("rejected")).alias("_answered"),
+        fields.text("chosen").alias("_chosen"),
+        fields.text("rejected").alias("_rejected"),
     )
-    good = F.col("error.code").isNull()
+    outcome = F.col("_outcome")
+    # A row that is no object has no answers either, but that is not its error.
+    unanswered = ~F.col("_answered") & (
+        F.coalesce(outcome["error"]["code"], F.lit("")).isin(
+            codes.BAD_JSON, codes.NOT_A_MAPPING
+        )
+        == F.lit(False)
+    )
+    row_error = F.when(unanswered, error(codes.PREF_MISSING_FIELDS)).otherwise(
+        outcome["error"]
+    )
+    good = row_error["code"].isNull()
     rows = evaluate_once(
-        assembled,
+        read,
         keep,
-        schema_kind=F.col("schema_kind"),
-        error=F.col("error"),
-        _turns=F.when(good, prepend_system_prompt(F.col("_messages"), system_prompt)),
+        schema_kind=outcome["schema_kind"],
+        error=row_error,
+        prompt=F.when(good, outcome["result"]),
         chosen=F.when(good, F.col("_chosen")),
         rejected=F.when(good, F.col("_rejected")),
     )
-    return rows.select(
-        *keep,
-        "schema_kind",
-        "error",
-        renderer(F.col("_turns"), True).alias("prompt"),
-        "chosen",
-        "rejected",
-    )
+    if in_python:
+        rows = rows.withColumn("prompt", renderer(F.col("prompt"), True))
+    return rows

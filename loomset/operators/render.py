@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.functions import Renderer, render_chatml
-from loomset.operators.messages import to_chat_messages
+from loomset.functions import Renderer, prepend_system_prompt, render_chatml
+from loomset.operators.messages import sft_rows
 
 
 def format_examples(
@@ -18,7 +18,13 @@ def format_examples(
     value: str = "value",
 ) -> DataFrame:
     """Add the training text to raw or typed SFT rows; NULL where ``error`` is set."""
-    rows = to_chat_messages(df, system_prompt, value)
-    text = renderer(F.col("messages"), add_generation_prompt)
-    keep = [name for name in rows.columns if name not in ("messages", text_field)]
-    return rows.select(*keep, text.alias(text_field))
+    in_python = getattr(renderer, "in_python", False)
+
+    def finish(messages: Column) -> Column:
+        messages = prepend_system_prompt(messages, system_prompt)
+        return messages if in_python else renderer(messages, add_generation_prompt)
+
+    rows = sft_rows(df, finish, text_field, value)
+    if in_python:
+        rows = rows.withColumn(text_field, renderer(F.col(text_field), add_generation_prompt))
+    return rows

@@ -1,21 +1,13 @@
 """Open raw rows: which known fields does a row carry, and what do they say?
 
-Every later operator works on the one struct column ``fields`` made here, so raw
-JSON lines and typed tables share all of the logic behind it:
-
-``fields.row_error``
-    ``BAD_JSON``, ``NOT_A_MAPPING`` or NULL
-``fields.<key>``
-    ``struct<present: boolean, text: string>`` for each scalar key; the text is
-    NULL when the key is absent or its value is null
-``fields.messages``
-    ``struct<present: boolean, turns: array<struct<role, content, problem,
-    index>>>``; ``turns`` is NULL when the value is not a list, and ``problem``
-    holds the error code of a bad turn
+Raw JSON lines and typed tables are opened into the same :class:`RowFields`, so
+all of the logic behind it is shared.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +31,29 @@ _TRUTHY_KEYS = ("context",)
 # Internal columns: the parsed line and its known fields as text.
 _JSON, _FIELDS = "_row_json", "_row_fields"
 
+class RowFields(NamedTuple):
+    """Columns that describe one row.
+
+    They are expressions rather than stored columns: Catalyst sees through them,
+    and a field that no branch asks for is never computed.
+    """
+
+    # BAD_JSON, NOT_A_MAPPING or NULL.
+    row_error: Column
+    # Per scalar key: is it there, and its text; NULL when absent or null.
+    scalars: dict[str, tuple[Column, Column]]
+    has_messages: Column
+    # array<struct<role, content, problem, index>>, NULL when not a list.  The
+    # problem is the error code of a bad turn.
+    turns: Column
+
+    def present(self, key: str) -> Column:
+        return self.scalars[key][0]
+
+    def text(self, key: str) -> Column:
+        return self.scalars[key][1]
+
+
 _TURNS_TYPE = "array<struct<role:string,content:string>>"
 
 
@@ -94,8 +109,10 @@ def read_json(df: DataFrame, field_types: dict[str, str], value: str) -> tuple[D
     return read, JsonRow(root)
 
 
-def open_json_rows(df: DataFrame, keys: tuple[str, ...], value: str = "value") -> DataFrame:
-    """Add ``fields`` to rows that hold one JSON text (or VARIANT) each.
+def open_json_rows(
+    df: DataFrame, keys: tuple[str, ...], value: str = "value"
+) -> tuple[DataFrame, RowFields]:
+    """Open rows that hold one JSON text (or VARIANT) each.
 
     A key that is present with a JSON null is told apart from a key that is
     absent.  Nearly all values are plain strings, which the one cast in
@@ -105,15 +122,14 @@ def open_json_rows(df: DataFrame, keys: tuple[str, ...], value: str = "value") -
     types = {"messages": _TURNS_TYPE, **dict.fromkeys(keys, "string")}
     read, row = read_json(df, types, value)
 
-    def scalar(key: str) -> Column:
-        text = row.text(key)
+    def text(key: str) -> Column:
+        plain_text = row.text(key)
         if key in _TRUTHY_KEYS:
             exact = truthy_variant_text(row.json(key))
-            text_or_null = F.when(text != "", text)
+            plain_text = F.when(plain_text != "", plain_text)
         else:
-            exact, text_or_null = variant_text(row.json(key)), text
-        exact_text = F.when(may_not_be_string(text), exact).otherwise(text_or_null)
-        return _scalar(row.present(key), exact_text)
+            exact = variant_text(row.json(key))
+        return F.when(may_not_be_string(row.text(key)), exact).otherwise(plain_text)
 
     turns = row.text("messages")
     plain = F.forall(
@@ -129,40 +145,43 @@ def open_json_rows(df: DataFrame, keys: tuple[str, ...], value: str = "value") -
     exact_turns = F.transform(
         row.json("messages", "array<struct<role:variant,content:variant>>"), _json_turn
     )
-    fields = F.struct(
-        row.error().alias("row_error"),
-        *[scalar(key).alias(key) for key in keys],
-        _messages(
-            row.present("messages"), F.when(plain, plain_turns).otherwise(exact_turns)
-        ).alias("messages"),
+    return read, RowFields(
+        row.error(),
+        {key: (row.present(key), text(key)) for key in keys},
+        row.present("messages"),
+        F.when(plain, plain_turns).otherwise(exact_turns),
     )
-    return read.select(*df.columns, fields.alias("fields"))
 
 
-def open_table_rows(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Add ``fields`` to rows of a typed table; a key is present when not NULL.
+def open_table_rows(
+    df: DataFrame, keys: tuple[str, ...]
+) -> tuple[DataFrame, RowFields]:
+    """Open rows of a typed table; a key is present when it is not NULL.
 
     ``messages`` may be an array of structs or of string maps.
     """
     types = {field.name: field.dataType for field in df.schema.fields}
 
-    def scalar(key: str) -> Column:
+    def scalar(key: str) -> tuple[Column, Column]:
         if key not in types:
-            return _scalar(F.lit(False), F.lit(None).cast("string"))
+            return F.lit(False), F.lit(None).cast("string")
         text = typed_text(F.col(key), types[key].typeName())
         if key in _TRUTHY_KEYS:
             text = F.when(text != "", text)
-        return _scalar(F.col(key).isNotNull(), text)
-
-    fields = F.struct(
-        F.lit(None).cast("string").alias("row_error"),
-        *[scalar(key).alias(key) for key in keys],
-        _table_messages(types.get("messages")).alias("messages"),
+        return F.col(key).isNotNull(), text
+
+    has_messages = F.col("messages").isNotNull() if "messages" in types else F.lit(False)
+    return df, RowFields(
+        F.lit(None).cast("string"),
+        {key: scalar(key) for key in keys},
+        has_messages,
+        _table_turns(types.get("messages")),
     )
-    return df.select("*", fields.alias("fields"))
 
 
-def open_rows(df: DataFrame, keys: tuple[str, ...], value: str = "value") -> DataFrame:
+def open_rows(
+    df: DataFrame, keys: tuple[str, ...], value: str = "value"
+) -> tuple[DataFrame, RowFields]:
     """Raw rows when ``df`` has the column ``value``, else a typed table."""
     if value in df.columns:
         return open_json_rows(df, keys, value)
@@ -177,14 +196,6 @@ def _path_key(key: str) -> str:
     return '"' + key + '"' if "'" in key else "'" + key + "'"
 
 
-def _scalar(present: Column, text: Column) -> Column:
-    return F.struct(present.alias("present"), text.alias("text"))
-
-
-def _messages(present: Column, turns: Column) -> Column:
-    return F.struct(present.alias("present"), turns.alias("turns"))
-
-
 def _json_turn(turn: Column, index: Column) -> Column:
     role, content = turn["role"], turn["content"]
     return _turn(
@@ -196,13 +207,11 @@ def _json_turn(turn: Column, index: Column) -> Column:
     )
 
 
-def _table_messages(data_type: T.DataType | None) -> Column:
-    absent = F.lit(None).cast("array<struct<role:string,content:string,problem:string,index:int>>")
-    if data_type is None:
-        return _messages(F.lit(False), absent)
-    present = F.col("messages").isNotNull()
+def _table_turns(data_type: T.DataType | None) -> Column:
     if not isinstance(data_type, T.ArrayType):
-        return _messages(present, absent)
+        return F.lit(None).cast(
+            "array<struct<role:string,content:string,problem:string,index:int>>"
+        )
     element = data_type.elementType
     readable = isinstance(element, T.MapType) or (
         isinstance(element, T.StructType)
@@ -217,7 +226,7 @@ def _table_messages(data_type: T.DataType | None) -> Column:
         has_keys = role.isNotNull() & content.isNotNull()
         return _turn(has_keys, role, content, F.lit(False), index)
 
-    return _messages(present, F.transform(F.col("messages"), turn))
+    return F.transform(F.col("messages"), turn)
 
 
 def _turn(
