@@ -20,6 +20,8 @@ PYTHON_WHITESPACE = (
 FALSY_TEXTS = ("False", "0", "0.0", "-0.0", "[]", "{}")
 
 BIGINT_DIGITS = 19
+# A DECIMAL has up to 38 digits, a sign and a point; other numbers are shorter.
+LONGEST_NUMBER = 40
 
 
 def py_strip(text: Column) -> Column:
@@ -72,12 +74,12 @@ def _other_text(value: Column) -> Column:
 def may_not_be_string(text: Column) -> Column:
     """Could this text, cast from JSON, stem from something else than a string?
 
-    False for NULL and for nearly all texts, after a look at the first character.
+    False for nearly all texts, after a look at their size and first character.
     """
-    first = F.ascii(text)
-    number = first.between(ord("-"), ord("9")) & text.rlike(r"^-?[0-9][0-9.E-]*$")
-    nested = first.isin(ord("["), ord("{"))
-    return F.coalesce(nested | text.isin("true", "false") | number, F.lit(False))
+    return F.when(
+        F.octet_length(text) <= LONGEST_NUMBER,
+        text.rlike(r"^(?:[\[{]|true$|false$|-?[0-9][0-9.E-]*$)"),
+    ).otherwise(text.startswith("[") | text.startswith("{"))
 
 
 def typed_text(value: Column, type_name: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions import (
+    bind,
     may_not_be_string,
     py_strip,
     truthy_variant_text,
@@ -71,13 +72,6 @@ class JsonRow:
         """The field itself.  Reading it costs a copy, so ask for it lazily."""
         return F.try_variant_get(_JSON, f"{self._root}[{_path_key(key)}]", as_type)
 
-    def present(self, key: str) -> Column:
-        # Not an "or": its second half would count as always needed, and then
-        # Catalyst shares the copy with every other use of json(key).
-        return F.when(self.text(key).isNull(), self.json(key).isNotNull()).otherwise(
-            F.lit(True)
-        )
-
     def error(self) -> Column:
         """Why the row is not one JSON object, or NULL."""
         broken = F.col(_JSON).isNull()
@@ -122,16 +116,36 @@ def open_json_rows(
     types = {"messages": _TURNS_TYPE, **dict.fromkeys(keys, "string")}
     read, row = read_json(df, types, value)
 
+    # Everything without a lambda goes into generated stages of its own: what a
+    # lambda is applied to is interpreted node by node.  Two stages, because one
+    # method for all of it would be too long for the JIT compiler.
+    opened = read.select(
+        *df.columns,
+        _JSON,
+        row.error().alias("_row_error"),
+        *[row.text(key).alias(f"_text_{key}") for key in ("messages", *keys)],
+    ).select(
+        "*",
+        *[may_not_be_string(F.col(f"_text_{key}")).alias(f"_check_{key}") for key in keys],
+    )
+
+    def present(key: str) -> Column:
+        # Only a key without text needs to be looked up.  Not an "or": its second
+        # half would count as always needed.
+        return F.when(F.col(f"_text_{key}").isNotNull(), F.lit(True)).otherwise(
+            row.json(key).isNotNull()
+        )
+
     def text(key: str) -> Column:
-        plain_text = row.text(key)
+        plain_text = F.col(f"_text_{key}")
         if key in _TRUTHY_KEYS:
-            exact = truthy_variant_text(row.json(key))
+            exact = bind(row.json(key), truthy_variant_text)
             plain_text = F.when(plain_text != "", plain_text)
         else:
-            exact = variant_text(row.json(key))
-        return F.when(may_not_be_string(row.text(key)), exact).otherwise(plain_text)
+            exact = bind(row.json(key), variant_text)
+        return F.when(F.col(f"_check_{key}"), exact).otherwise(plain_text)
 
-    turns = row.text("messages")
+    turns = F.col("_text_messages")
     plain = F.forall(
         turns,
         lambda t: valid_role(py_strip(t["role"]))
@@ -145,10 +159,10 @@ def open_json_rows(
     exact_turns = F.transform(
         row.json("messages", "array<struct<role:variant,content:variant>>"), _json_turn
     )
-    return read, RowFields(
-        row.error(),
-        {key: (row.present(key), text(key)) for key in keys},
-        row.present("messages"),
+    return opened, RowFields(
+        F.col("_row_error"),
+        {key: (present(key), text(key)) for key in keys},
+        present("messages"),
         F.when(plain, plain_turns).otherwise(exact_turns),
     )
 
