@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomset.functions import MESSAGES_TYPE, bind, evaluate_once, message, prepend_system_prompt
+from loomset.functions import bind, evaluate_once, message, prepend_system_prompt
 from loomset.operators import codes
 from loomset.operators.rows import SFT_KEYS, RowFields, open_rows
 
@@ -73,20 +73,20 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
     makes the result out of the messages.
     """
 
-    def outcome(kind: str | None, row_error: Column, messages: Column) -> Column:
+    def outcome(kind: str | None, row_error: Column, messages: Column | None = None) -> Column:
+        result = F.lit(None) if messages is None else finish(messages)
         return F.struct(
-            F.lit(kind).cast("string").alias("schema_kind"),
+            F.lit(kind).alias("schema_kind"),
             row_error.alias("error"),
-            finish(messages.cast(MESSAGES_TYPE)).alias("result"),
+            result.alias("result"),
         )
 
-    nothing = F.lit(None)
     prompt, completion = fields.text("prompt"), fields.text("completion")
     answer_error = F.when(
         response_text(fields).isNull(), error(codes.MISSING_RESPONSE)
     ).otherwise(null_error(fields.text("instruction")))
     return (
-        F.when(fields.row_error.isNotNull(), outcome(None, error(fields.row_error), nothing))
+        F.when(fields.row_error.isNotNull(), outcome(None, error(fields.row_error)))
         .when(
             fields.has_messages,
             bind(
@@ -113,7 +113,7 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
                 two_turns(prompt, completion),
             ),
         )
-        .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA), nothing))
+        .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA)))
     )
 
 

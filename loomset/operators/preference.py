@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomset.functions import (
-    MESSAGES_TYPE,
     Renderer,
     bind,
     evaluate_once,
@@ -34,17 +33,17 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
     order differs from the SFT one: ``messages``, ``prompt``, ``instruction``.
     """
 
-    def outcome(kind: str | None, row_error: Column, messages: Column) -> Column:
+    def outcome(kind: str | None, row_error: Column, messages: Column | None = None) -> Column:
+        result = F.lit(None) if messages is None else finish(messages)
         return F.struct(
-            F.lit(kind).cast("string").alias("schema_kind"),
+            F.lit(kind).alias("schema_kind"),
             row_error.alias("error"),
-            finish(messages.cast(MESSAGES_TYPE)).alias("result"),
+            result.alias("result"),
         )
 
     def user(text: Column) -> Column:
         return F.array(message("user", text))
 
-    nothing = F.lit(None)
     answers = fields.text("chosen"), fields.text("rejected")
 
     def messages_error(turns: Column) -> Column:
@@ -54,7 +53,7 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
         )
 
     return (
-        F.when(fields.row_error.isNotNull(), outcome(None, error(fields.row_error), nothing))
+        F.when(fields.row_error.isNotNull(), outcome(None, error(fields.row_error)))
         .when(
             fields.has_messages,
             bind(
@@ -81,7 +80,7 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
                 user(instruction_text(fields)),
             ),
         )
-        .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA), nothing))
+        .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA)))
     )
 
 

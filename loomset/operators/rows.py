@@ -136,14 +136,19 @@ def open_json_rows(
             row.json(key).isNotNull()
         )
 
-    def text(key: str) -> Column:
-        plain_text = F.col(f"_text_{key}")
+    # One lambda for all keys: it runs for few rows, and a plan with a copy of it
+    # per key takes noticeably longer to build.
+    checks = {key: F.col(f"_check_{key}") for key in keys}
+    exact_texts = F.transform(
+        F.array(*[F.when(checks[key], row.json(key)) for key in keys]), variant_text
+    )
+
+    def text(index: int, key: str) -> Column:
+        plain_text, exact = F.col(f"_text_{key}"), F.get(exact_texts, F.lit(index))
         if key in _TRUTHY_KEYS:
-            exact = bind(row.json(key), truthy_variant_text)
             plain_text = F.when(plain_text != "", plain_text)
-        else:
-            exact = bind(row.json(key), variant_text)
-        return F.when(F.col(f"_check_{key}"), exact).otherwise(plain_text)
+            exact = bind(row.json(key), truthy_variant_text)
+        return F.when(checks[key], exact).otherwise(plain_text)
 
     turns = F.col("_text_messages")
     plain = F.forall(
@@ -161,7 +166,7 @@ def open_json_rows(
     )
     return opened, RowFields(
         F.col("_row_error"),
-        {key: (present(key), text(key)) for key in keys},
+        {key: (present(key), text(i, key)) for i, key in enumerate(keys)},
         present("messages"),
         F.when(plain, plain_turns).otherwise(exact_turns),
     )
