@@ -20,7 +20,7 @@ def corpus_text(
     The text is taken as it is; a value that is not a string is an error rather
     than being converted.
     """
-    keep = [name for name in df.columns if name != text_field]
+    keep = [name for name in df.columns if name not in ("error", text_field)]
     if value not in df.columns:
         return _typed_corpus_text(df, keep, text_field)
     read, row = read_json(df, {text_field: "string"}, value)

@@ -16,6 +16,10 @@ from loomset.operators import codes
 from loomset.operators.rows import SFT_KEYS, RowFields, open_rows
 
 
+# Columns that the row operators replace where a table has them already.
+REPLACED = ("messages", "schema_kind", "error")
+
+
 def error(code: Column | str | None, index: Column | None = None) -> Column:
     """One error value; NULL code for a good row."""
     code = F.lit(code) if code is None or isinstance(code, str) else code
@@ -122,7 +126,7 @@ def sft_rows(
 ) -> DataFrame:
     """Add ``schema_kind``, ``error`` and the result, NULL where ``error`` is set."""
     opened, fields = open_rows(df, SFT_KEYS, value)
-    keep = [name for name in df.columns if name not in ("messages", result)]
+    keep = [name for name in df.columns if name not in (*REPLACED, result)]
     outcome = F.col("_outcome")
     return evaluate_once(
         opened.select(*keep, sft_outcome(fields, finish).alias("_outcome")),

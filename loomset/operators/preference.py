@@ -17,6 +17,7 @@ from loomset.functions import (
 )
 from loomset.operators import codes
 from loomset.operators.messages import (
+    REPLACED,
     error,
     instruction_text,
     normalized_turns,
@@ -98,7 +99,7 @@ def to_preference_examples(
     keep = [
         name
         for name in df.columns
-        if name not in ("messages", "prompt", "chosen", "rejected")
+        if name not in (*REPLACED, "prompt", "chosen", "rejected")
     ]
     in_python = getattr(renderer, "in_python", False)
 

@@ -1,10 +1,16 @@
 """Physical plans: what must not be in them, and streaming use."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from loomset import accepted, corpus_text, format_examples, scan_jsonl, to_chat_messages
+from loomset import (
+    accepted,
+    corpus_text,
+    format_examples,
+    load_text_corpus,
+    to_chat_messages,
+    to_preference_examples,
+)
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_ON_PURPOSE = {"render_with_template_fn"}
@@ -36,6 +42,26 @@ def test_typed_tables_read_only_the_columns_they_need(spark, tmp_path):
     assert "ReadSchema: struct<prompt:string,completion:string>" in text
 
 
+def test_each_side_reads_its_own_file(spark, tmp_path):
+    paths = [tmp_path / name for name in ("train.jsonl", "eval.jsonl")]
+    for path in paths:
+        path.write_text('{"text":"a"}\n')
+    data = load_text_corpus(spark, str(paths[0]), eval_path=str(paths[1]))
+    for part, path in zip(data, paths):
+        assert plan(part).count("FileScan") == 1
+        assert [f.rsplit("/", 1)[1] for f in part.inputFiles()] == [path.name]
+
+
+def test_generated_methods_are_short_enough_for_the_jit(spark, json_rows):
+    """HotSpot never compiles a method of more than 8,000 bytes."""
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.package
+    rows = json_rows({"prompt": "p", "completion": "c"})
+    for df in (format_examples(rows), to_preference_examples(rows), corpus_text(rows)):
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) < 8000
+
+
 def test_row_operators_work_on_a_stream(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
