@@ -20,8 +20,8 @@ PYTHON_WHITESPACE = (
 FALSY_TEXTS = ("False", "0", "0.0", "-0.0", "[]", "{}")
 
 BIGINT_DIGITS = 19
-# A DECIMAL has up to 38 digits, a sign and a point; other numbers are shorter.
-LONGEST_NUMBER = 40
+# The longest text of a number: a DECIMAL's sign, "0." and 38 digits.
+LONGEST_NUMBER = 41
 
 
 def py_strip(text: Column) -> Column:

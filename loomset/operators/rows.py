@@ -32,6 +32,9 @@ _TRUTHY_KEYS = ("context",)
 # Internal columns: the parsed line and its known fields as text.
 _JSON, _FIELDS = "_row_json", "_row_fields"
 
+_TURNS_TYPE = "array<struct<role:string,content:string>>"
+
+
 class RowFields(NamedTuple):
     """Columns that describe one row.
 
@@ -55,9 +58,6 @@ class RowFields(NamedTuple):
         return self.scalars[key][1]
 
 
-_TURNS_TYPE = "array<struct<role:string,content:string>>"
-
-
 class JsonRow:
     """The columns that :func:`read_json` adds, and what can be asked of them."""
 
@@ -82,7 +82,9 @@ class JsonRow:
         )
 
 
-def read_json(df: DataFrame, field_types: dict[str, str], value: str) -> tuple[DataFrame, JsonRow]:
+def read_json(
+    df: DataFrame, field_types: dict[str, str], value: str
+) -> tuple[DataFrame, JsonRow]:
     """Parse the JSON text or VARIANT ``value`` once and cast the known fields.
 
     A line is parsed inside ``{"row": <line>, "end": 0}``: the parser stops after
@@ -126,7 +128,10 @@ def open_json_rows(
         *[row.text(key).alias(f"_text_{key}") for key in ("messages", *keys)],
     ).select(
         "*",
-        *[may_not_be_string(F.col(f"_text_{key}")).alias(f"_check_{key}") for key in keys],
+        *[
+            may_not_be_string(F.col(f"_text_{key}")).alias(f"_check_{key}")
+            for key in keys
+        ],
     )
 
     def present(key: str) -> Column:

@@ -70,6 +70,10 @@ GOOD = {
         [("system", "s"), ("user", "u"), ("assistant", "a"), ("tool", "t")],
     ),
     "repeated roles": (chat(("user", "1"), ("user", "2")), [("user", "1"), ("user", "2")]),
+    "longest number": (
+        '{"prompt": -0.%s1, "completion": "c"}' % ("0" * 3 + "1" * 34),
+        [("user", "-0.%s1" % ("0" * 3 + "1" * 34)), ("assistant", "c")],
+    ),
     "text that looks like JSON": (
         {"prompt": '{"a": 1}', "completion": "[]"}, [("user", '{"a": 1}'), ("assistant", "[]")],
     ),
