@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomset.llm import simhash
+from loomset.llm import repeats, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = repeats.remove_repeats(docs, size=13)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, size=3)
 
 
 QUERIES: dict[str, Query] = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
 }
 
