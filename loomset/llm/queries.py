@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import repeats, simhash
+from loomset.llm import decontaminate, repeats, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, items, window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = repeats.remove_repeats(docs, size=13)
@@ -27,9 +40,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
 }
-
-#: DuckDB SQL with the same columns and rows as the query of the same name.
-ORACLES: dict[str, str] = {}

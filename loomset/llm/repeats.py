@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomset.llm import bitmap
 from loomset.llm.words import SPACED, Words, map_slices, normal, row_key, stored, texts
 
 #: Words of a minimiser.
 SHORT = 5
-#: The Bloom filter has this many words of 64 bits (16 MB), at every size of the corpus.
-FILTER_WORDS = 1 << 21
 
 
 def _minimisers(words: Words, hashes: np.ndarray, size: int):
@@ -65,17 +64,6 @@ def _repeated_minimisers(docs: DataFrame, size: int) -> DataFrame:
     return seen.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").select("m")
 
 
-def _filter_bits(minimisers: DataFrame) -> np.ndarray:
-    """A Bloom filter with one hash, FILTER_WORDS * 64 bits."""
-    slot = F.col("m").bitwiseAND(F.lit(FILTER_WORDS - 1))
-    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(m, 58) as int))")
-    rows = minimisers.select(slot.alias("slot"), bit.alias("bit"))
-    bits = np.zeros(FILTER_WORDS, np.uint64)
-    for batch in rows.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow().to_batches():
-        bits[batch.column("slot").to_numpy()] = batch.column("bits").to_numpy().view(np.uint64)
-    return bits
-
-
 def _edges(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
     """Edges that may repeat: two hashes, document, and place with the row's key."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -86,8 +74,7 @@ def _edges(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
         at, least = _minimisers(words, first, size)
         _, h1 = words.runs(first, size)
         _, h2 = words.runs(words.hashes(2), size)
-        hit = shared.value[(least & np.uint64(FILTER_WORDS - 1)).astype(np.int64)]
-        may = np.flatnonzero((hit >> (least >> np.uint64(58))) & np.uint64(1))
+        may = np.flatnonzero(bitmap.may_hold(shared.value, least))
         row = words.row[at[may]]
         place = (_ids(batch, "key")[row] << 32) | words.place[at[may]]
         return pa.record_batch(
@@ -112,7 +99,7 @@ def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
     """
     base = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     keyed = base.select("doc_id", "text", row_key().bitwiseAND(F.lit((1 << 31) - 1)).alias("key"))
-    bits = _filter_bits(stored(_repeated_minimisers(base, size)))
+    bits = bitmap.build(stored(_repeated_minimisers(base, size)), "m")
     edges = _edges(keyed, size, bits)
     source = F.min(F.struct("doc_id", "place")).alias("source")
     first = edges.groupBy("h1", "h2").agg(source, F.max("doc_id").alias("last"))
