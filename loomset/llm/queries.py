@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, repeats, simhash
+from loomset.llm import decontaminate, quality, repeats, simhash
+from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +40,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, size=3)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = quality.training_labels(table(spark, sf_dir, "labels"), parts=5, held_out=0)
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        in_fold(5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op10_quality": op10_quality,
 }
