@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, quality, repeats, simhash
+from loomset.llm import decontaminate, language, quality, repeats, simhash
 from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, size=3)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(language.training_documents(docs, parts=4, held_out=2))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", in_fold(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = quality.training_labels(table(spark, sf_dir, "labels"), parts=5, held_out=0)
@@ -56,5 +63,6 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op8_language_id": op8_language_id,
     "op10_quality": op10_quality,
 }
