@@ -56,7 +56,19 @@ select doc_id, cast(len(w) as bigint) as n_words,
 from doc left join cut using (doc_id) left join kept using (doc_id)
 """
 
+_OP9 = """
+with page as (select page_id, coalesce(html, '') as html from pages),
+of as (
+    select *, octet_length(encode(html)) as n, max(page_id) over (partition by html) as last
+    from page)
+select page_id, cast(n as bigint) as payload_bytes, sha1(html) as payload_digest,
+    case when n >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
+    case when n >= 1000 and page_id < last then last end as refers_to
+from of
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": _OP1,
     "op4_substring_dedup": _OP4,
+    "op9_warc": _OP9,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, language, quality, repeats, simhash
+from loomset.llm import decontaminate, language, pii, quality, repeats, simhash, warc
 from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, size=3)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, terms = pii.written("base"), pii.written("terms", F.lit(pii.TERM))
+    counts = [
+        F.expr(f"size(filter(base, x -> x.kind = '{k}'))").cast("bigint").alias(f"n_{k}")
+        for k in pii.KINDS
+    ]
+    both = F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(terms, F.lit("")))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), both.alias("spans"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(language.training_documents(docs, parts=4, held_out=2))
@@ -47,6 +58,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    read = warc.read_archives(archives, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = quality.training_labels(table(spark, sf_dir, "labels"), parts=5, held_out=0)
@@ -63,6 +80,8 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
+    "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
