@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, language, pii, quality, repeats, simhash, warc
+from loomset.llm import decontaminate, language, licenses, pii, quality, repeats, simhash, warc
 from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", *labels, "score"
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = repeats.remove_repeats(docs, size=13)
@@ -78,6 +86,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
