@@ -56,6 +56,79 @@ select doc_id, cast(len(w) as bigint) as n_words,
 from doc left join cut using (doc_id) left join kept using (doc_id)
 """
 
+_G = "(1.01 / 0.99)"
+_FENCES = ", ".join(
+    f"max(case when share = '{s}' then q0 - 3 * greatest(q1 - q0, {d}) end) as low_{s}, "
+    f"max(case when share = '{s}' then q1 + 3 * greatest(q1 - q0, {d}) end) as high_{s}"
+    for s, d in (("symbols", 0.02), ("lines", 0.1), ("repeats", 0.05), ("length", 0.5))
+)
+_OP5 = f"""
+with doc as (
+    select row_number() over () as r, *, coalesce({_SPACED.format("text")}, []) as w,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+    from documents),
+run as (
+    select r, p, count(*) over (partition by r, array_to_string(w[p : p + 7], ' ')) as c
+    from (select r, w, unnest(range(1, len(w) - 6)) as p from doc where len(w) >= 8)),
+again as (
+    select r, count(*) as n from (
+        select distinct r, unnest(range(p, p + 8)) as q from run where c > 1) group by r),
+base as (
+    select r, doc_id, lang, source, len(w) as n_words,
+        coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as word_chars,
+        length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) as n_symbols,
+        len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(again.n, 0) as n_repeat_words, len(lines) as n_lines
+    from doc left join again using (r)),
+x as (
+    select r, lang, source, unnest([
+        {{'share': 'symbols', 'x': n_symbols / n_words}},
+        {{'share': 'lines', 'x': n_dup_lines / n_lines}},
+        {{'share': 'repeats', 'x': n_repeat_words / n_words}},
+        {{'share': 'length', 'x': word_chars / n_words}}], recursive := true)
+    from base where n_words > 0),
+bins as (
+    select *, case when x > 0 then floor(ln(x) / ln({_G})) else -2147483648 end as b from x),
+counts as (
+    select 2 as level, lang, source, share, b, count(*) as n from bins group by all
+    union all select 1, lang, null, share, b, count(*) from bins group by all
+    union all select 0, null, null, share, b, count(*) from bins group by all),
+cum as (
+    select *, sum(n) over (partition by level, lang, source, share order by b) as upto,
+        sum(n) over (partition by level, lang, source, share) as total,
+        case when b = -2147483648 then 0 else pow({_G}, b) * (1 + {_G}) / 2 end as v
+    from counts),
+quart as (
+    select level, lang, source, share, max(total) as total,
+        min(case when upto >= total * 0.25 then v end) as q0,
+        min(case when upto >= total * 0.75 then v end) as q1
+    from cum group by all),
+fence as (
+    select level, lang, source, max(total) as total, {_FENCES} from quart group by all),
+pick as (
+    select o.lang, o.source,
+        case when o.total >= 100 then 2 when l.total >= 100 then 1 else 0 end as level
+    from fence o join fence l on l.level = 1 and o.lang is not distinct from l.lang
+    where o.level = 2),
+rule as (
+    select pick.lang, pick.source, fence.* exclude (level, lang, source, total)
+    from pick join fence on pick.level = fence.level
+        and (pick.level < 1 or pick.lang is not distinct from fence.lang)
+        and (pick.level < 2 or pick.source is not distinct from fence.source))
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+    cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+    cast(n_repeat_words as bigint) as n_repeat_words,
+    n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+    n_words >= 20 and 100 * n_repeat_words <= 30 * n_words and coalesce(
+        n_symbols / n_words between low_symbols and high_symbols
+        and n_dup_lines / n_lines between low_lines and high_lines
+        and n_repeat_words / n_words between low_repeats and high_repeats
+        and word_chars / n_words between low_length and high_length, false) as kept
+from base left join rule
+    on base.lang is not distinct from rule.lang and base.source is not distinct from rule.source
+"""
+
 _OP9 = """
 with page as (select page_id, coalesce(html, '') as html from pages),
 of as (
@@ -70,5 +143,6 @@ from of
 ORACLES: dict[str, str] = {
     "op1_decontamination": _OP1,
     "op4_substring_dedup": _OP4,
+    "op5_quality_rules": _OP5,
     "op9_warc": _OP9,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, language, licenses, pii, quality, repeats, simhash, warc
+from loomset.llm import decontaminate, language, licenses, pii, quality, quality_rules, repeats
+from loomset.llm import simhash, warc
 from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality_rules.judge(docs).drop("n_lines")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, size=3)
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
