@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, language, licenses, pii, quality, quality_rules, repeats
-from loomset.llm import simhash, warc
+from loomset.llm import decontaminate, language, licenses, pieces, pii, quality, quality_rules
+from loomset.llm import repeats, simhash, warc
 from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The folder of vocabulary files, and the model that is used of them.
+TOKENIZERS = os.environ.get("LOOMSET_TOKENIZERS", "/opt/tokenizers")
+MODEL = "piece_bpe_32k.model"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,6 +45,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_bytes(folder: str = TOKENIZERS, name: str = MODEL) -> bytes:
+    """The content of a vocabulary file, which the driver reads and sends to executors."""
+    return (Path(folder) / name).read_bytes()
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, model_bytes()).select("doc_id", "n_pieces", "ids", "round_trip")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = repeats.remove_repeats(docs, size=13)
@@ -93,6 +109,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash": op6_simhash,
