@@ -60,7 +60,7 @@ _G = "(1.01 / 0.99)"
 _FENCES = ", ".join(
     f"max(case when share = '{s}' then q0 - 3 * greatest(q1 - q0, {d}) end) as low_{s}, "
     f"max(case when share = '{s}' then q1 + 3 * greatest(q1 - q0, {d}) end) as high_{s}"
-    for s, d in (("symbols", 0.02), ("lines", 0.1), ("repeats", 0.05), ("length", 0.5))
+    for s, d in (("symbols", 0.02), ("lines", 0.15), ("repeats", 0.1), ("length", 0.5))
 )
 _OP5 = f"""
 with doc as (

@@ -32,8 +32,8 @@ SYMBOLS = b"#*$%&|<>"
 #: Each share, and the distance between quartiles that is assumed at least.
 SHARES = {
     "symbols": ("n_symbols / n_words", 0.02),
-    "lines": ("n_dup_lines / n_lines", 0.1),
-    "repeats": ("n_repeat_words / n_words", 0.05),
+    "lines": ("n_dup_lines / n_lines", 0.15),
+    "repeats": ("n_repeat_words / n_words", 0.1),
     "length": ("word_chars / n_words", 0.5),
 }
 _GAMMA = (1 + RELATIVE) / (1 - RELATIVE)
