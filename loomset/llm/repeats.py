@@ -8,8 +8,8 @@ found in three scans:
    Equal edges have equal minimisers, and neighbouring edges mostly share one, so
    that about one short run in five words is sent to be counted.  A minimiser of a
    single document belongs to no repeated edge.
-2. Edges whose minimiser repeats are grouped by a 128-bit hash.  Each keeps its source:
-   the smallest doc_id and the first place there.  A Bloom filter of fixed size leaves
+2. Edges whose minimiser repeats are grouped by a 96-bit hash.  Each keeps its source:
+   the smallest doc_id and the place there.  A Bloom filter of fixed size leaves
    out most of the others before the shuffle; it lets all through that repeat, and
    where a very large corpus fills it, it merely spares less.
 3. Joined back to their occurrences, edges follow each other along a path without a
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.llm import bitmap
@@ -76,17 +76,22 @@ def _edges(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
         _, h2 = words.runs(words.hashes(2), size)
         may = np.flatnonzero(bitmap.may_hold(shared.value, least))
         row = words.row[at[may]]
-        place = (_ids(batch, "key")[row] << 32) | words.place[at[may]]
         return pa.record_batch(
             {
                 "h1": h1[may].view(np.int64),
-                "h2": h2[may].view(np.int64),
+                "h2": (h2[may] >> np.uint64(32)).astype(np.uint32).view(np.int32),
                 "doc_id": _ids(batch, "doc_id")[row],
-                "place": place,
+                "key": _ids(batch, "key")[row].astype(np.int32),
+                "place": words.place[at[may]].astype(np.int32),
             }
         )
 
-    return map_slices(docs, make, "h1 bigint, h2 bigint, doc_id bigint, place bigint")
+    return map_slices(docs, make, "h1 bigint, h2 int, doc_id bigint, key int, place int")
+
+
+def _row() -> Column:
+    """Tells the rows of one doc_id apart by their texts."""
+    return row_key().bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("key")
 
 
 def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
@@ -98,34 +103,28 @@ def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
     with a NULL doc_id or text have no spans.
     """
     base = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    keyed = base.select("doc_id", "text", row_key().bitwiseAND(F.lit((1 << 31) - 1)).alias("key"))
+    keyed = base.select("doc_id", "text", _row())
     bits = bitmap.build(stored(_repeated_minimisers(base, size)), "m")
     edges = _edges(keyed, size, bits)
-    source = F.min(F.struct("doc_id", "place")).alias("source")
-    first = edges.groupBy("h1", "h2").agg(source, F.max("doc_id").alias("last"))
-    first = stored(first.filter("source.doc_id < last").select("h1", "h2", "source"))
-    found = edges.join(first, ["h1", "h2"]).filter("doc_id > source.doc_id")
-    low = F.lit((1 << 32) - 1)
-    found = stored(
-        found.select(
-            "doc_id",
-            F.shiftright("place", 32).alias("key"),
-            F.col("place").bitwiseAND(low).cast("int").alias("place"),
-            F.col("source.doc_id").alias("source_id"),
-            F.shiftright("source.place", 32).alias("source_key"),
-            F.col("source.place").bitwiseAND(low).cast("int").alias("source_place"),
-        )
+    first = edges.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("source_id"),
+        F.max("doc_id").alias("last"),
+        F.min_by("place", "doc_id").alias("source_place"),
     )
+    first = stored(first.filter("source_id < last").drop("last"))
+    # an edge is one row of ``first``, which therefore spreads evenly
+    found = edges.join(first.hint("shuffle_hash"), ["h1", "h2"]).filter("doc_id > source_id")
+    found = stored(found.drop("h1", "h2"))
     of_row = Window.partitionBy("doc_id", "key").orderBy("place")
-    before = F.lag(F.struct("place", "source_id", "source_key", "source_place")).over(of_row)
+    before = F.lag(F.struct("place", "source_id", "source_place")).over(of_row)
+    # one word on in both; rows that are equal give a place more than once
+    step = F.col("place") - F.col("before.place")
     follows = (
-        (F.col("before.place") == F.col("place") - 1)
+        (step <= 1)
         & (F.col("before.source_id") == F.col("source_id"))
-        & (F.col("before.source_key") == F.col("source_key"))
-        & (F.col("before.source_place") == F.col("source_place") - 1)
+        & (F.col("source_place") - F.col("before.source_place") == step)
     )
-    # equal rows give equal places, which are one
-    told = found.dropDuplicates(["doc_id", "key", "place"]).withColumn("before", before)
+    told = found.withColumn("before", before)
     told = told.withColumn("new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
     told = told.withColumn("path", F.sum("new").over(of_row))
     return told.groupBy("doc_id", "key", "path").agg(
@@ -150,7 +149,7 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     )
     clash = {"n_words", "n_removed", "kept"} & set(docs.columns)
     names = [c for c in docs.columns if c not in clash]
-    keyed = docs.select(*names, row_key().bitwiseAND(F.lit((1 << 31) - 1)).alias("_row"))
+    keyed = docs.select(*names, _row().alias("_row"))
     cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "cuts")
     joined = keyed.join(
         cuts, (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_key")), "left"
