@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ TERM = "term"
 CONTEXT = 8
 #: Characters of a term, at least.
 LEAST_TERM = 4
+#: A task passes its counts on when it holds this many terms.
+HELD_TERMS = 100_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -156,15 +159,26 @@ def _document_counts(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """(term, n_t): documents with a term, for terms that the filter may hold."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words([normal(x, _LETTERS) for x in texts(batch)])
-        hit = np.flatnonzero(bitmap.may_hold(shared.value, words.hashes()))
-        data = words.data.tobytes()
-        told = {(int(words.row[i]), data[words.start[i] : words.end[i]]) for i in hit.tolist()}
-        return pa.record_batch({"term": pa.array([t.decode() for _, t in told], pa.string())})
-
-    found = map_slices(docs.select("text"), make, "term string")
-    return found.groupBy("term").agg(F.count("*").alias("n_t"))
+    def told(counts: Counter) -> pa.RecordBatch:
+        terms = pa.array([t.decode() for t in counts], pa.string())
+        return pa.record_batch({"term": terms, "n": pa.array(counts.values(), pa.int64())})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in slices(batches):
+            words = Words([normal(x, _LETTERS) for x in texts(batch)])
+            hit = np.flatnonzero(bitmap.may_hold(shared.value, words.hashes()))
+            data = words.data.tobytes()
+            rows, starts, ends = (x[hit].tolist() for x in (words.row, words.start, words.end))
+            seen = {(i, data[a:z]) for i, a, z in zip(rows, starts, ends)}
+            counts.update(t for _, t in seen)
+            if len(counts) >= HELD_TERMS:
+                yield told(counts)
+                counts.clear()
+        yield told(counts)
+
+    found = docs.select("text").mapInArrow(count, "term string, n bigint")
+    return found.groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
 def _disclosing(docs: DataFrame, scanned: DataFrame, threshold: float, contexts: int) -> DataFrame:
