@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.llm import bitmap
-from loomset.llm.words import PLAIN, Words, map_slices, normal, row_key, stored, texts
+from loomset.llm.words import PLAIN, Words, free, map_slices, normal, row_key, stored, texts, without
 
 #: Words of a shingle, fewer only where a whole item has fewer.
 SHINGLE = 3
@@ -187,7 +187,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` without a word of a window of ``items``, all their columns."""
     hit = contamination(docs, items, window).filter("n_hit > 0")
-    hit = hit.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
-    keyed = docs.withColumn("_key", row_key())
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
-    return keyed.join(hit, on, "left_anti").drop("_key")
+    hit = hit.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct()
+    key = free(docs, "text_key")
+    keyed = docs.withColumn(key, row_key())
+    on = keyed["doc_id"].eqNullSafe(hit["d"]) & (keyed[key] == hit["k"])
+    return without(keyed.join(hit, on, "left_anti"), key)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomset.llm.folds import in_fold
-from loomset.llm.words import Words, normal, slices
+from loomset.llm.words import Words, map_slices, normal, schema_with, slices, without
 
 #: N-grams fall into this many bins; a model has this many numbers for each language.
 BINS = 1 << 16
@@ -153,19 +153,16 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     score 0 and no shares; so is every text if the model has no language.  Ties go to
     the language that comes first by name.
     """
-    new = ("lang_pred", "score", "lang_shares")
-    names = [c for c in docs.columns if c not in new]
-    base = docs.select(*names)
+    base = without(docs, "lang_pred", "score", "lang_shares")
+    names = base.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = pa.map_(pa.string(), pa.float64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            lang, score, shares = shared.value.predict(batch.column("text").to_pylist())
-            columns = {c: batch.column(c) for c in names}
-            columns |= {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)}
-            kind = pa.map_(pa.string(), pa.float64())
-            yield pa.record_batch(columns | {"lang_shares": pa.array([list(x.items()) for x in shares], kind)})
-
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema]
-    schema = [*kinds, "lang_pred string", "score double", "lang_shares map<string,double>"]
-    return base.mapInArrow(run, ", ".join(schema))
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lang, score, shares = shared.value.predict(batch.column("text").to_pylist())
+        columns = {c: batch.column(c) for c in names}
+        columns |= {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)}
+        return pa.record_batch(columns | {"lang_shares": pa.array([list(x.items()) for x in shares], kind)})
+
+    new = "lang_pred string, score double, lang_shares map<string,double>"
+    return map_slices(base, make, schema_with(base, new))

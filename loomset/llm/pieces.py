@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomset.llm.words import slices
+from loomset.llm.words import map_batches, map_slices, schema_with, without
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
@@ -340,30 +340,27 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     to the text as the normaliser leaves it.  NULL texts have NULL ids, no pieces and
     a NULL round_trip; empty texts have no ids.
     """
-    new = ("n_pieces", "ids", "round_trip")
-    names = [c for c in docs.columns if c not in new]
-    base = docs.select(*dict.fromkeys([*names, "text"]))
+    base = without(docs, "n_pieces", "ids", "round_trip")
+    names = base.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         machine = _compiled(shared.value)
-        for batch in slices(batches):
-            rows = batch.column("text").to_pylist()
-            packed = [machine.encode(x) for x in rows]
-            back = [None if x is None else machine.decode(p) == machine.plain(x) for x, p in zip(rows, packed)]
-            sizes = np.array([len(p) // 4 for p in packed], np.int64)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            ids = pa.ListArray.from_arrays(
-                offsets,
-                pa.array(np.frombuffer(b"".join(packed), "<i4")),
-                mask=pa.array([x is None for x in rows], pa.bool_()),
-            )
-            columns = {c: batch.column(c) for c in names}
-            columns |= {"n_pieces": pa.array(sizes), "ids": ids, "round_trip": pa.array(back, pa.bool_())}
-            yield pa.record_batch(columns)
-
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema]
-    return base.mapInArrow(run, ", ".join([*kinds, "n_pieces bigint", "ids array<int>", "round_trip boolean"]))
+        rows = batch.column("text").to_pylist()
+        packed = [machine.encode(x) for x in rows]
+        back = [None if x is None else machine.decode(p) == machine.plain(x) for x, p in zip(rows, packed)]
+        sizes = np.array([len(p) // 4 for p in packed], np.int64)
+        ids = pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
+            pa.array(np.frombuffer(b"".join(packed), "<i4")),
+            mask=pa.array([x is None for x in rows], pa.bool_()),
+        )
+        columns = {c: batch.column(c) for c in names}
+        columns |= {"n_pieces": pa.array(sizes), "ids": ids, "round_trip": pa.array(back, pa.bool_())}
+        return pa.record_batch(columns)
+
+    new = "n_pieces bigint, ids array<int>, round_trip boolean"
+    return map_slices(base, make, schema_with(base, new))
 
 
 def decode(coded: DataFrame, model: bytes) -> DataFrame:
@@ -371,19 +368,16 @@ def decode(coded: DataFrame, model: bytes) -> DataFrame:
 
     An id outside the model fails the job: it belongs to another one.
     """
-    names = [c for c in coded.columns if c != "decoded"]
-    base = coded.select(*names)
+    base = without(coded, "decoded")
+    names = base.columns
     shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _compiled(shared.value)
         for batch in batches:
-            out = [
-                None if ids.as_py() is None else machine.decode(np.array(ids.as_py(), "<i4").tobytes())
-                for ids in batch.column("ids")
-            ]
+            packed = (None if x is None else array("i", x).tobytes() for x in batch.column("ids").to_pylist())
+            out = [None if p is None else machine.decode(p) for p in packed]
             columns = {c: batch.column(c) for c in names}
             yield pa.record_batch(columns | {"decoded": pa.array(out, pa.string())})
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema]
-    return base.mapInArrow(run, ", ".join([*kinds, "decoded string"]))
+    return map_batches(base, run, schema_with(base, "decoded string"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomset.llm import bitmap
-from loomset.llm.words import Words, map_slices, normal, row_key, slices, stored, texts
+from loomset.llm.words import Words, free, map_slices, normal, row_key, slices, stored, texts
 
 KINDS = ("email", "ip", "card", "phone")
 #: The method's own kind.
@@ -252,29 +252,24 @@ def sanitised(text: str, found: list[tuple[int, int, str]]) -> str:
 
 def sanitise(docs: DataFrame, threshold: float = 0.9, contexts: int = 2) -> DataFrame:
     """``docs`` with personal data and the terms that disclose it generalised in text."""
+    found, key = free(docs, "pii_spans"), free(docs, "pii_key")
     told = spans(docs, threshold, contexts).filter("size(base) > 0").dropDuplicates(["doc_id", "key"])
-    told = told.select(
-        F.col("doc_id").alias("_d"),
-        F.col("key").alias("_k"),
-        F.concat(
-            "base",
-            F.transform("terms", lambda x: F.struct(F.lit(TERM).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))),
-        ).alias("_spans"),
+    term = F.transform(
+        "terms", lambda x: F.struct(F.lit(TERM).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
     )
-    keyed = docs.withColumn("_key", row_key())
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
-    joined = keyed.join(told, on, "left").drop("_d", "_k", "_key")
+    told = told.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.concat("base", term).alias(found))
+    keyed = docs.withColumn(key, row_key())
+    on = docs["doc_id"].eqNullSafe(told["d"]) & (keyed[key] == told["k"])
+    joined = keyed.join(told, on, "left").select(*(keyed[f"`{c}`"] for c in docs.columns), told[found])
     names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            out = []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
-                if text and found:
-                    text = sanitised(text, [(x["start"], x["end"], x["kind"]) for x in found])
-                out.append(text)
-            columns = {c: batch.column(c) for c in names}
-            yield pa.record_batch(columns | {"text": pa.array(out, pa.string())})
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(run, kinds)
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for text, found_here in zip(batch.column("text").to_pylist(), batch.column(found).to_pylist()):
+            if text and found_here:
+                text = sanitised(text, [(x["start"], x["end"], x["kind"]) for x in found_here])
+            out.append(text)
+        columns = {c: batch.column(c) for c in names}
+        return pa.record_batch(columns | {"text": pa.array(out, pa.string())})
+
+    return map_slices(joined, make, docs.schema)

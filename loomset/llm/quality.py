@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomset.llm.folds import in_fold
-from loomset.llm.words import slices, texts
+from loomset.llm.words import free, map_slices, schema_with, slices, texts, without
 
 #: A feature of 1.0 is this number.
 SCALE = 255
@@ -202,26 +202,23 @@ def training_labels(labels: DataFrame, parts: int = 5, held_out: int = 0) -> Dat
     return labels.filter(~in_fold(parts, held_out))
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, column: str = "score") -> DataFrame:
     """``docs`` with a column ``score``; one of that name is replaced.
 
     NULL and empty texts get the score of a text without a character.
     """
-    names = [c for c in docs.columns if c != "score"]
-    base = docs.select(*names)
+    base = without(docs, column)
+    names = base.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            columns = {c: batch.column(c) for c in names}
-            yield pa.record_batch(columns | {"score": pa.array(model.scores(texts(batch)))})
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = {c: batch.column(c) for c in names}
+        return pa.record_batch(columns | {column: pa.array(model.scores(texts(batch)))})
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema]
-    return base.mapInArrow(run, ", ".join([*kinds, "score double"]))
+    return map_slices(base, make, schema_with(base, f"{column} double"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, with all their columns."""
-    model = fit(docs, labels)
-    return score(docs.withColumnRenamed("score", "_had_score"), model).filter(
-        F.col("score") >= least
-    ).drop("score").withColumnRenamed("_had_score", "score")
+    column = free(docs, "quality_score")
+    scored = score(docs, fit(docs, labels), column)
+    return without(scored.filter(F.col(column) >= least), column)

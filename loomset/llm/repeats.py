@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomset.llm import bitmap
-from loomset.llm.words import SPACED, Words, map_slices, normal, row_key, stored, texts
+from loomset.llm.words import SPACED, Words, free, map_slices, normal, row_key, schema_with, stored, texts, without
 
 #: Words of a minimiser.
 SHORT = 5
@@ -147,17 +147,17 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     cuts = spans.groupBy("doc_id", "key").agg(
         F.sort_array(F.collect_list(F.struct("start", "words"))).alias("cuts")
     )
-    clash = {"n_words", "n_removed", "kept"} & set(docs.columns)
-    names = [c for c in docs.columns if c not in clash]
-    keyed = docs.select(*names, _row().alias("_row"))
-    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "cuts")
-    joined = keyed.join(
-        cuts, (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_key")), "left"
-    ).drop("_row", "_id", "_key")
+    base = without(docs, "n_words", "n_removed", "kept")
+    names = base.columns
+    row, found = free(base, "text_key"), free(base, "repeat_cuts")
+    keyed = base.withColumn(row, _row())
+    cuts = cuts.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("cuts").alias(found))
+    on = (keyed["doc_id"] == cuts["d"]) & (keyed[row] == cuts["k"])
+    joined = keyed.join(cuts, on, "left").select(*(keyed[f"`{c}`"] for c in names), cuts[found])
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_words, n_removed, kept = [], [], []
-        for text, cuts in zip(texts(batch), batch.column("cuts").to_pylist()):
+        for text, cuts in zip(texts(batch), batch.column(found).to_pylist()):
             words = text.split() if text else []
             n_words.append(len(words))
             if cuts:
@@ -172,6 +172,4 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
         columns |= {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
         return pa.record_batch(columns | {"kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.drop("_row").schema)
-    return map_slices(joined, make, f"{schema}, n_words bigint, n_removed bigint, kept string")
-
+    return map_slices(joined, make, schema_with(base, "n_words bigint, n_removed bigint, kept string"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomset.llm.components import components
-from loomset.llm.words import SPACED_LOWER, map_slices, normal, stored, texts
+from loomset.llm.words import SPACED_LOWER, free, map_slices, normal, row_key, stored, texts, without
 
 SEED = 42
 #: More nodes than this in one bucket are linked through neighbouring values.
@@ -47,15 +47,20 @@ def fingerprint(words: bytes, size: int = 3) -> int:
     return sum(1 << int(b) for b in np.flatnonzero(2 * total > len(h)))
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp long) for each row of ``docs``; fp is 0 for texts without a word."""
+def fingerprints(docs: DataFrame, size: int = 3, more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp long) for each row of ``docs``; fp is 0 for texts without a word.
+
+    ``more`` names further BIGINT columns to keep.
+    """
+    names = ("doc_id", *more)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [fingerprint(normal(x, SPACED_LOWER), size) for x in texts(batch)]
         fp = np.array(found, np.uint64).view(np.int64)
-        return pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fp)})
+        return pa.record_batch({c: batch.column(c) for c in names} | {"fp": pa.array(fp)})
 
-    return map_slices(docs.select("doc_id", "text"), make, "doc_id bigint, fp bigint")
+    schema = ", ".join(f"{c} bigint" for c in (*names, "fp"))
+    return map_slices(docs.select(*names, "text"), make, schema)
 
 
 def bit_sums(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -223,7 +228,15 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, size: int = 3) -> DataFr
     with the same result; a NULL doc_id never becomes a component_id unless the whole
     component has no other.  No rows give no rows.
     """
-    prints = stored(fingerprints(docs, size))
+    return _grouped(stored(fingerprints(docs, size)), max_bits).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``prints`` (doc_id, fp, ...) with component_id."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     edges = stored(links(nodes.select("fp"), max_bits))
     joined = components(edges)
@@ -231,9 +244,30 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, size: int = 3) -> DataFr
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    result = of.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(result, "fp").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    result = of.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+    return prints.join(result, "fp")
+
+
+def deduplicate(docs: DataFrame, max_bits: int = 2, size: int = 3) -> DataFrame:
+    """One row of ``docs`` for each component, all its columns.
+
+    It is a row with the smallest doc_id of the component; where several have it (or
+    none has one), that whose text has the smallest hash, and of equal rows any one.
+    Only ids, hashes and fingerprints are shuffled to choose it; texts are read once
+    more, and joined to what was chosen.
+    """
+    keyed = docs.select("doc_id", "text", row_key().alias("key"))
+    prints = stored(fingerprints(keyed, size, ("key",)))
+    chosen = _grouped(prints, max_bits).filter("doc_id <=> component_id")
+    equal = chosen.groupBy("root", "doc_id", "key").agg(F.count("*").alias("n"))
+    least = equal.groupBy("root").agg(F.min(F.struct("key", "n", "doc_id")).alias("x"))
+    least = stored(least.select(F.col("x.doc_id").alias("d"), F.col("x.key").alias("k"), F.col("x.n").alias("n")))
+    row = free(docs, "text_key")
+    keyed = docs.withColumn(row, row_key())
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        same = keyed["doc_id"].eqNullSafe(some["d"]) & (keyed[row] == some["k"])
+        return keyed.join(some, same, "left_semi")
+
+    once, often = rows_of(least.filter("n = 1")), rows_of(least.filter("n > 1"))
+    return without(once.union(often.dropDuplicates(["doc_id", row])), row)

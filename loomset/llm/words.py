@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from loomset.sources import shared_dir
 
@@ -54,17 +55,45 @@ def texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes | None]:
     return batch.column(text).cast(pa.large_binary()).to_pylist()
 
 
+def map_batches(
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+) -> DataFrame:
+    """``mapInArrow`` for columns of any name, with dots too."""
+    names = df.columns
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(batch.rename_columns(names) for batch in batches)
+
+    return df.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(named, schema)
+
+
 def map_slices(
-    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str
+    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
 ) -> DataFrame:
     """``make`` over slices of ``df``, which has a column ``text``."""
+    return map_batches(df, lambda batches: map(make, slices(batches)), schema)
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns so named, in any case, whatever else its names hold."""
+    low = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in low))
+
+
+def free(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    low = {c.lower() for c in df.columns}
+    while name.lower() in low:
+        name += "_"
+    return name
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            made = make(batch)
-            yield from made.to_batches() if isinstance(made, pa.Table) else (made,)
 
-    return df.mapInArrow(run, schema)
+def schema_with(df: DataFrame, more: str) -> StructType:
+    """The schema of ``df`` and the columns of a DDL text; all may be NULL."""
+    fields = [StructField(f.name, f.dataType) for f in df.schema.fields]
+    return StructType(fields + StructType.fromDDL(more).fields)
 
 
 def row_key() -> Column:
