@@ -2,7 +2,6 @@
 
 from loomset.functions import (
     prepend_system_prompt,
-    render_brackets,
     render_chatml,
     template_renderer,
 )
@@ -53,7 +52,6 @@ __all__ = [
     "prepend_system_prompt",
     "profile_keys",
     "quarantined",
-    "render_brackets",
     "render_chatml",
     "route_table",
     "run_prep_job",

@@ -7,21 +7,31 @@ from loomset.functions.chat import (
     Renderer,
     message,
     prepend_system_prompt,
-    render_brackets,
     render_chatml,
+    render_template,
     template_renderer,
     valid_role,
 )
+from loomset.functions.jsontext import (
+    JSON_PARSER,
+    MAX_DEPTH,
+    one_value,
+    parse_json,
+    with_length,
+)
 from loomset.functions.pytext import (
     PYTHON_WHITESPACE,
     may_not_be_string,
     py_strip,
+    truthy_typed_text,
     truthy_variant_text,
     typed_text,
     variant_text,
 )
 
 __all__ = [
+    "JSON_PARSER",
+    "MAX_DEPTH",
     "MESSAGES_TYPE",
     "PYTHON_WHITESPACE",
     "ROLES",
@@ -30,13 +40,17 @@ __all__ = [
     "evaluate_once",
     "may_not_be_string",
     "message",
+    "one_value",
+    "parse_json",
     "prepend_system_prompt",
     "py_strip",
-    "render_brackets",
     "render_chatml",
+    "render_template",
     "template_renderer",
+    "truthy_typed_text",
     "truthy_variant_text",
     "typed_text",
     "valid_role",
     "variant_text",
+    "with_length",
 ]

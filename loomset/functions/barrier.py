@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def evaluate_once(df: DataFrame, keep: list[str], **exprs: Column) -> DataFrame:
+def evaluate_once(df: DataFrame, keep: list[str], exprs: dict[str, Column]) -> DataFrame:
     """Select ``keep`` plus the named expressions, each computed once per row.
 
     Catalyst pushes a filter on a computed column below the projection by

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters that Python's str.strip() removes.
 PYTHON_WHITESPACE = (
@@ -32,8 +33,8 @@ def py_strip(text: Column) -> Column:
 def variant_text(value: Column) -> Column:
     """Text of one JSON value; NULL when the value is absent or a JSON null.
 
-    Strings, integers, booleans and plain decimals read as in Python.  Nested
-    values are compact JSON, and numbers in exponent form keep Spark's text.
+    Strings, booleans and numbers read as in Python.  Nested values are compact
+    JSON, and an integer of more than 38 digits is read as a float.
     """
     # The common case comes first: reading a long string is the costly part, and
     # this way it happens once.
@@ -67,10 +68,30 @@ def _other_text(value: Column) -> Column:
             & (F.length(text) < BIGINT_DIGITS),
             F.concat(text, F.lit(".0")),
         )
+        .when(F.contains(text, F.lit("E")) & (kind != "OBJECT") & ~kind.startswith("ARRAY"), float_text(text))
         .otherwise(text)
     )
 
 
+def float_text(text: Column) -> Column:
+    """Python's text of a number from Java's, which has an exponent sooner."""
+    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
+    digits = F.regexp_replace(text, r"(?:\.0)?E.*$", "")
+    # 17 digits at most before the point, and 21 after it
+    plain = F.regexp_replace(text.cast("decimal(38,21)").cast("string"), r"0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    size = F.lpad(F.abs(exponent).cast("string"), 2, "0")
+    size = F.when(F.abs(exponent) > 99, F.abs(exponent).cast("string")).otherwise(size)
+    sign = F.when(exponent < 0, "e-").otherwise("e+")
+    return (
+        F.when(text == "NaN", "nan")
+        .when(text.endswith("Infinity"), F.regexp_replace(text, "Infinity", "inf"))
+        .when(~F.contains(text, F.lit("E")), text)
+        .when((exponent >= -4) & (exponent < 16), plain)
+        .otherwise(F.concat(digits, sign, size))
+    )
+
+
 def may_not_be_string(text: Column) -> Column:
     """Could this text, cast from JSON, stem from something else than a string?
 
@@ -82,7 +103,27 @@ def may_not_be_string(text: Column) -> Column:
     ).otherwise(text.startswith("[") | text.startswith("{"))
 
 
-def typed_text(value: Column, type_name: str) -> Column:
-    """Text of a typed table column."""
+def typed_text(value: Column, data_type: T.DataType) -> Column:
+    """Text of a typed value, as the same value has it that is read from JSON."""
     text = value.cast("string")
-    return F.initcap(text) if type_name == "boolean" else text
+    if isinstance(data_type, T.BooleanType):
+        return F.initcap(text)
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return float_text(text)
+    if isinstance(data_type, T.VariantType):
+        return variant_text(value)
+    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(value)
+    return text
+
+
+def truthy_typed_text(value: Column, data_type: T.DataType) -> Column:
+    """Like :func:`typed_text`, but NULL for a value that Python calls false."""
+    text = typed_text(value, data_type)
+    if isinstance(data_type, T.StringType):
+        return F.when(text != "", text)
+    if isinstance(data_type, T.VariantType):
+        return truthy_variant_text(value)
+    if isinstance(data_type, T.DecimalType):
+        return F.when(value != 0, text)
+    return F.when(~text.isin(*FALSY_TEXTS), text)

@@ -13,13 +13,32 @@ from pyspark.sql import functions as F
 
 from loomset.functions import bind, evaluate_once, message, prepend_system_prompt
 from loomset.operators import codes
-from loomset.operators.rows import SFT_KEYS, RowFields, open_rows
+from loomset.operators.rows import RESERVED, SFT_KEYS, RowFields, open_rows
 
 
 # Columns that the row operators replace where a table has them already.
 REPLACED = ("messages", "schema_kind", "error")
 
 
+def kept(df: DataFrame, *replaced: str) -> list[str]:
+    """The columns that stay, quoted; names are compared as Spark does, in any case."""
+    low = {name.lower() for name in replaced}
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns if c.lower() not in low]
+
+
+def outcome(
+    kind: str | None,
+    row_error: Column,
+    messages: Column | None = None,
+    finish: Callable[[Column], Column] | None = None,
+) -> Column:
+    """``struct<schema_kind, error, result>`` of one row."""
+    result = F.lit(None) if messages is None else finish(messages)
+    return F.struct(
+        F.lit(kind).alias("schema_kind"), row_error.alias("error"), result.alias("result")
+    )
+
+
 def error(code: Column | str | None, index: Column | None = None) -> Column:
     """One error value; NULL code for a good row."""
     code = F.lit(code) if code is None or isinstance(code, str) else code
@@ -77,14 +96,6 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
     makes the result out of the messages.
     """
 
-    def outcome(kind: str | None, row_error: Column, messages: Column | None = None) -> Column:
-        result = F.lit(None) if messages is None else finish(messages)
-        return F.struct(
-            F.lit(kind).alias("schema_kind"),
-            row_error.alias("error"),
-            result.alias("result"),
-        )
-
     prompt, completion = fields.text("prompt"), fields.text("completion")
     answer_error = F.when(
         response_text(fields).isNull(), error(codes.MISSING_RESPONSE)
@@ -97,7 +108,7 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
                 fields.turns,
                 lambda turns: bind(
                     normalized_turns(turns),
-                    lambda messages: outcome("messages", turns_error(turns), messages),
+                    lambda messages: outcome("messages", turns_error(turns), messages, finish),
                 ),
             ),
         )
@@ -107,6 +118,7 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
                 "instruction",
                 answer_error,
                 two_turns(instruction_text(fields), response_text(fields)),
+                finish,
             ),
         )
         .when(
@@ -115,6 +127,7 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
                 "prompt_completion",
                 null_error(prompt, completion),
                 two_turns(prompt, completion),
+                finish,
             ),
         )
         .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA)))
@@ -122,23 +135,25 @@ def sft_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column
 
 
 def sft_rows(
-    df: DataFrame, finish: Callable[[Column], Column], result: str, value: str = "value"
+    df: DataFrame, finish: Callable[[Column], Column], result: str, value: str | None = "value"
 ) -> DataFrame:
     """Add ``schema_kind``, ``error`` and the result, NULL where ``error`` is set."""
     opened, fields = open_rows(df, SFT_KEYS, value)
-    keep = [name for name in df.columns if name not in (*REPLACED, result)]
-    outcome = F.col("_outcome")
+    keep = kept(df, *REPLACED, result)
+    found = F.col(RESERVED + "outcome")
     return evaluate_once(
-        opened.select(*keep, sft_outcome(fields, finish).alias("_outcome")),
+        opened.select(*keep, sft_outcome(fields, finish).alias(RESERVED + "outcome")),
         keep,
-        schema_kind=outcome["schema_kind"],
-        error=outcome["error"],
-        **{result: F.when(outcome["error"]["code"].isNull(), outcome["result"])},
+        {
+            "schema_kind": found["schema_kind"],
+            "error": found["error"],
+            result: F.when(found["error"]["code"].isNull(), found["result"]),
+        },
     )
 
 
 def to_chat_messages(
-    df: DataFrame, system_prompt: str | None = None, value: str = "value"
+    df: DataFrame, system_prompt: str | None = None, value: str | None = "value"
 ) -> DataFrame:
     """Add ``schema_kind``, ``error`` and ``messages`` to raw or typed SFT rows.
 

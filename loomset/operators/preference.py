@@ -20,11 +20,14 @@ from loomset.operators.messages import (
     REPLACED,
     error,
     instruction_text,
+    kept,
     normalized_turns,
     null_error,
+    outcome,
     turns_error,
 )
-from loomset.operators.rows import PREFERENCE_KEYS, RowFields, open_rows
+from loomset.operators.render import rendered
+from loomset.operators.rows import PREFERENCE_KEYS, RESERVED, RowFields, open_rows
 
 
 def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) -> Column:
@@ -34,14 +37,6 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
     order differs from the SFT one: ``messages``, ``prompt``, ``instruction``.
     """
 
-    def outcome(kind: str | None, row_error: Column, messages: Column | None = None) -> Column:
-        result = F.lit(None) if messages is None else finish(messages)
-        return F.struct(
-            F.lit(kind).alias("schema_kind"),
-            row_error.alias("error"),
-            result.alias("result"),
-        )
-
     def user(text: Column) -> Column:
         return F.array(message("user", text))
 
@@ -61,7 +56,9 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
                 fields.turns,
                 lambda turns: bind(
                     normalized_turns(turns),
-                    lambda messages: outcome("messages", messages_error(turns), messages),
+                    lambda messages: outcome(
+                        "messages", messages_error(turns), messages, finish
+                    ),
                 ),
             ),
         )
@@ -71,6 +68,7 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
                 "prompt",
                 null_error(fields.text("prompt"), *answers),
                 user(fields.text("prompt")),
+                finish,
             ),
         )
         .when(
@@ -79,6 +77,7 @@ def preference_outcome(fields: RowFields, finish: Callable[[Column], Column]) ->
                 "instruction",
                 null_error(fields.text("instruction"), *answers),
                 user(instruction_text(fields)),
+                finish,
             ),
         )
         .otherwise(outcome(None, error(codes.UNKNOWN_SCHEMA)))
@@ -89,18 +88,14 @@ def to_preference_examples(
     df: DataFrame,
     renderer: Renderer = render_chatml,
     system_prompt: str | None = None,
-    value: str = "value",
+    value: str | None = "value",
 ) -> DataFrame:
     """Add ``schema_kind``, ``error``, ``prompt``, ``chosen`` and ``rejected``.
 
     The prompt always ends with a generation prompt; the answers stay raw text.
     The three texts are NULL exactly where ``error.code`` is set.
     """
-    keep = [
-        name
-        for name in df.columns
-        if name not in (*REPLACED, "prompt", "chosen", "rejected")
-    ]
+    keep = kept(df, *REPLACED, "prompt", "chosen", "rejected")
     in_python = getattr(renderer, "in_python", False)
 
     def finish(messages: Column) -> Column:
@@ -110,32 +105,32 @@ def to_preference_examples(
     opened, fields = open_rows(df, PREFERENCE_KEYS, value)
     read = opened.select(
         *keep,
-        preference_outcome(fields, finish).alias("_outcome"),
-        (fields.present("chosen") & fields.present("rejected")).alias("_answered"),
-        fields.text("chosen").alias("_chosen"),
-        fields.text("rejected").alias("_rejected"),
+        preference_outcome(fields, finish).alias(RESERVED + "outcome"),
+        (fields.present("chosen") & fields.present("rejected")).alias(RESERVED + "answered"),
+        fields.text("chosen").alias(RESERVED + "chosen"),
+        fields.text("rejected").alias(RESERVED + "rejected"),
     )
-    outcome = F.col("_outcome")
+    found = F.col(RESERVED + "outcome")
     # A row that is no object has no answers either, but that is not its error.
-    unanswered = ~F.col("_answered") & (
-        F.coalesce(outcome["error"]["code"], F.lit("")).isin(
+    unanswered = ~F.col(RESERVED + "answered") & (
+        F.coalesce(found["error"]["code"], F.lit("")).isin(
             codes.BAD_JSON, codes.NOT_A_MAPPING
         )
         == F.lit(False)
     )
     row_error = F.when(unanswered, error(codes.PREF_MISSING_FIELDS)).otherwise(
-        outcome["error"]
+        found["error"]
     )
     good = row_error["code"].isNull()
     rows = evaluate_once(
         read,
         keep,
-        schema_kind=outcome["schema_kind"],
-        error=row_error,
-        prompt=F.when(good, outcome["result"]),
-        chosen=F.when(good, F.col("_chosen")),
-        rejected=F.when(good, F.col("_rejected")),
+        {
+            "schema_kind": found["schema_kind"],
+            "error": row_error,
+            "prompt": F.when(good, found["result"]),
+            "chosen": F.when(good, F.col(RESERVED + "chosen")),
+            "rejected": F.when(good, F.col(RESERVED + "rejected")),
+        },
     )
-    if in_python:
-        rows = rows.withColumn("prompt", renderer(F.col("prompt"), True))
-    return rows
+    return rendered(rows, renderer, "prompt", True) if in_python else rows

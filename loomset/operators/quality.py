@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def drop_empty_text(df: DataFrame, text_field: str = "text") -> DataFrame:
@@ -53,11 +54,18 @@ def dataset_ready_count(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def profile_keys(df: DataFrame, value: str = "value") -> DataFrame:
-    """Row count per sorted set of top-level JSON keys.
+def profile_keys(df: DataFrame, value: str = "value", preview: str | None = None) -> DataFrame:
+    """Row count and an example per sorted set of top-level JSON keys.
 
-    The keys are joined with commas; lines that are not JSON objects count under
-    NULL.
+    ``value`` is JSON text or VARIANT.  ``keys`` is an array, and NULL counts what is
+    no JSON object.  The example is the row with the smallest text; ``preview`` names a
+    column, such as the rendered text, that is shown of it instead of the row.
     """
-    keys = F.array_join(F.array_sort(F.json_object_keys(F.col(value))), ",")
-    return df.groupBy(keys.alias("keys")).agg(F.count(F.lit(1)).alias("n_rows"))
+    text = F.col(value)
+    if isinstance(df.schema[value].dataType, T.VariantType):
+        text = F.to_json(text)
+    keys = F.array_sort(F.json_object_keys(text))
+    example = F.min(text) if preview is None else F.min_by(preview, text)
+    return df.groupBy(keys.alias("keys")).agg(
+        F.count(F.lit(1)).alias("n_rows"), example.alias("example")
+    )

@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomset.functions import (
+    JSON_PARSER,
+    MAX_DEPTH,
     bind,
     may_not_be_string,
+    parse_json,
     py_strip,
+    truthy_typed_text,
     truthy_variant_text,
     typed_text,
     valid_role,
     variant_text,
+    with_length,
 )
 from loomset.operators import codes
 
@@ -29,8 +34,14 @@ PREFERENCE_KEYS = ("prompt", "instruction", "context", "chosen", "rejected")
 # The keys whose value counts only when Python calls it true.
 _TRUTHY_KEYS = ("context",)
 
+# Names of internal columns start like this; tables must not use it.
+RESERVED = "__loomset_"
+
 # Internal columns: the parsed line and its known fields as text.
-_JSON, _FIELDS = "_row_json", "_row_fields"
+_JSON, _FIELDS = RESERVED + "json", RESERVED + "fields"
+
+# A VARIANT ends at 128 MiB.  Small numbers take up to eight times their text in it.
+_SURELY_FITS = 16 << 20
 
 _TURNS_TYPE = "array<struct<role:string,content:string>>"
 
@@ -61,8 +72,8 @@ class RowFields(NamedTuple):
 class JsonRow:
     """The columns that :func:`read_json` adds, and what can be asked of them."""
 
-    def __init__(self, root: str):
-        self._root = root
+    def __init__(self, root: str, line: str | None = None):
+        self.root, self._line = root, line
 
     def text(self, key: str) -> Column:
         """The field cast to text; NULL for an absent key and for a JSON null."""
@@ -70,39 +81,53 @@ class JsonRow:
 
     def json(self, key: str, as_type: str = "variant") -> Column:
         """The field itself.  Reading it costs a copy, so ask for it lazily."""
-        return F.try_variant_get(_JSON, f"{self._root}[{_path_key(key)}]", as_type)
+        return F.try_variant_get(_JSON, f"{self.root}[{_path_key(key)}]", as_type)
 
     def error(self) -> Column:
         """Why the row is not one JSON object, or NULL."""
-        broken = F.col(_JSON).isNull()
-        if self._root != "$":
-            broken |= F.try_variant_get(_JSON, "$.end", "int").isNull()
-        return F.when(broken, codes.BAD_JSON).when(
-            F.col(_FIELDS).isNull(), codes.NOT_A_MAPPING
+        return F.coalesce(
+            self.refusal(), F.when(F.col(_FIELDS).isNull(), codes.NOT_A_MAPPING)
         )
 
+    def refusal(self) -> Column:
+        """Why the row is not one JSON value, or NULL."""
+        if self._line is None:
+            refused, broken = F.lit(codes.BAD_JSON), F.lit(False)
+        else:
+            refused = bind(F.col(self._line), _refusal)
+            # Exactly two elements, the second of which is the line's own length.
+            length = F.octet_length(self._line).cast("bigint")
+            broken = F.coalesce(
+                F.try_variant_get(_JSON, "$[1]", "bigint") != length, F.lit(True)
+            ) | F.try_variant_get(_JSON, "$[2]", "variant").isNotNull()
+        return F.when(F.col(_JSON).isNull(), refused).when(broken, codes.BAD_JSON)
+
+
+def _refusal(line: Column) -> Column:
+    """Why a line could not be parsed: it is too large for a VARIANT, or no JSON."""
+    size = F.octet_length(line)
+    parts = F.from_json(with_length(line), "array<string>", JSON_PARSER)
+    valid = (F.size(parts) == 2) & (F.get(parts, F.lit(1)) == size.cast("string"))
+    brackets = F.length(line) - F.length(F.translate(line, "[{", ""))
+    too_large = F.when(size > _SURELY_FITS, valid).otherwise(F.lit(False))
+    return F.when(F.coalesce(too_large, F.lit(False)) | (brackets > MAX_DEPTH), codes.ROW_TOO_LARGE).otherwise(
+        codes.BAD_JSON
+    )
+
 
 def read_json(
     df: DataFrame, field_types: dict[str, str], value: str
 ) -> tuple[DataFrame, JsonRow]:
-    """Parse the JSON text or VARIANT ``value`` once and cast the known fields.
-
-    A line is parsed inside ``{"row": <line>, "end": 0}``: the parser stops after
-    the first JSON value, so a second value on the same line would go unseen, but
-    here it hides ``end``.
-    """
+    """Parse the JSON text or VARIANT ``value`` once and cast the known fields."""
     if isinstance(df.schema[value].dataType, T.StringType):
-        root = "$.row"
-        parsed = F.try_parse_json(
-            F.concat(F.lit('{"row":'), F.col(value), F.lit(',"end":0}'))
-        )
+        row, parsed = JsonRow("$[0]", value), parse_json(F.col(value))
     else:
-        root, parsed = "$", F.col(value)
+        row, parsed = JsonRow("$"), F.col(value)
     wanted = ",".join(f"{_quoted(key)}:{name}" for key, name in field_types.items())
     read = df.select("*", parsed.alias(_JSON)).select(
-        "*", F.try_variant_get(_JSON, root, f"struct<{wanted}>").alias(_FIELDS)
+        "*", F.try_variant_get(_JSON, row.root, f"struct<{wanted}>").alias(_FIELDS)
     )
-    return read, JsonRow(root)
+    return read, row
 
 
 def open_json_rows(
@@ -124,12 +149,12 @@ def open_json_rows(
     opened = read.select(
         *df.columns,
         _JSON,
-        row.error().alias("_row_error"),
-        *[row.text(key).alias(f"_text_{key}") for key in ("messages", *keys)],
+        row.error().alias(RESERVED + "error"),
+        *[row.text(key).alias(f"{RESERVED}text_{key}") for key in ("messages", *keys)],
     ).select(
         "*",
         *[
-            may_not_be_string(F.col(f"_text_{key}")).alias(f"_check_{key}")
+            may_not_be_string(F.col(f"{RESERVED}text_{key}")).alias(f"{RESERVED}check_{key}")
             for key in keys
         ],
     )
@@ -137,25 +162,25 @@ def open_json_rows(
     def present(key: str) -> Column:
         # Only a key without text needs to be looked up.  Not an "or": its second
         # half would count as always needed.
-        return F.when(F.col(f"_text_{key}").isNotNull(), F.lit(True)).otherwise(
+        return F.when(F.col(f"{RESERVED}text_{key}").isNotNull(), F.lit(True)).otherwise(
             row.json(key).isNotNull()
         )
 
     # One lambda for all keys: it runs for few rows, and a plan with a copy of it
     # per key takes noticeably longer to build.
-    checks = {key: F.col(f"_check_{key}") for key in keys}
+    checks = {key: F.col(f"{RESERVED}check_{key}") for key in keys}
     exact_texts = F.transform(
         F.array(*[F.when(checks[key], row.json(key)) for key in keys]), variant_text
     )
 
     def text(index: int, key: str) -> Column:
-        plain_text, exact = F.col(f"_text_{key}"), F.get(exact_texts, F.lit(index))
+        plain_text, exact = F.col(f"{RESERVED}text_{key}"), F.get(exact_texts, F.lit(index))
         if key in _TRUTHY_KEYS:
             plain_text = F.when(plain_text != "", plain_text)
             exact = bind(row.json(key), truthy_variant_text)
         return F.when(checks[key], exact).otherwise(plain_text)
 
-    turns = F.col("_text_messages")
+    turns = F.col(RESERVED + "text_messages")
     plain = F.forall(
         turns,
         lambda t: valid_role(py_strip(t["role"]))
@@ -170,7 +195,7 @@ def open_json_rows(
         row.json("messages", "array<struct<role:variant,content:variant>>"), _json_turn
     )
     return opened, RowFields(
-        F.col("_row_error"),
+        F.col(RESERVED + "error"),
         {key: (present(key), text(i, key)) for i, key in enumerate(keys)},
         present("messages"),
         F.when(plain, plain_turns).otherwise(exact_turns),
@@ -189,10 +214,8 @@ def open_table_rows(
     def scalar(key: str) -> tuple[Column, Column]:
         if key not in types:
             return F.lit(False), F.lit(None).cast("string")
-        text = typed_text(F.col(key), types[key].typeName())
-        if key in _TRUTHY_KEYS:
-            text = F.when(text != "", text)
-        return F.col(key).isNotNull(), text
+        read = truthy_typed_text if key in _TRUTHY_KEYS else typed_text
+        return F.col(key).isNotNull(), read(F.col(key), types[key])
 
     has_messages = F.col("messages").isNotNull() if "messages" in types else F.lit(False)
     return df, RowFields(
@@ -204,18 +227,49 @@ def open_table_rows(
 
 
 def open_rows(
-    df: DataFrame, keys: tuple[str, ...], value: str = "value"
+    df: DataFrame, keys: tuple[str, ...], value: str | None = "value"
 ) -> tuple[DataFrame, RowFields]:
-    """Raw rows when ``df`` has the column ``value``, else a typed table."""
-    if value in df.columns:
-        return open_json_rows(df, keys, value)
-    return open_table_rows(df, keys)
+    """Raw rows or a typed table; see :func:`raw_column`."""
+    raw = raw_column(df, value, ("messages", *keys))
+    return open_json_rows(df, keys, raw) if raw else open_table_rows(df, keys)
+
+
+def raw_column(df: DataFrame, value: str | None, keys: tuple[str, ...]) -> str | None:
+    """Which column holds raw rows; None for a typed table.
+
+    ``value`` names it, and None says that there is none.  Left at its default, the
+    column ``value`` is meant if there is one and the table has no column of a known
+    key beside it, so that a typed table may have a column ``value`` too.
+    """
+    if value is None or value not in df.columns:
+        return None
+    if value == "value" and set(keys) & set(df.columns):
+        return None
+    return value
 
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def parsed_rows(df: DataFrame, line: str, into: str, refused: str) -> DataFrame:
+    """Add the VARIANT of each line, and the error code of a line that is not one value.
+
+    Row operators take the VARIANT as it is, so that a line is parsed once whatever is
+    read of it.
+    """
+    read = df.select("*", parse_json(F.col(line)).alias(_JSON))
+    code = JsonRow("$[0]", line).refusal()
+    row = F.try_variant_get(_JSON, "$[0]", "variant")
+    read = read.select("*", code.alias(refused))
+    return read.select(*df.columns, F.when(F.col(refused).isNull(), row).alias(into), refused)
+
+
+def path_of(key: str) -> str:
+    """The step of a VARIANT path that leads to ``key``."""
+    return f"[{_path_key(key)}]"
+
+
 def _path_key(key: str) -> str:
     return '"' + key + '"' if "'" in key else "'" + key + "'"
 
@@ -237,16 +291,19 @@ def _table_turns(data_type: T.DataType | None) -> Column:
             "array<struct<role:string,content:string,problem:string,index:int>>"
         )
     element = data_type.elementType
-    readable = isinstance(element, T.MapType) or (
-        isinstance(element, T.StructType)
-        and {"role", "content"} <= set(element.fieldNames())
-    )
+    if isinstance(element, T.MapType):
+        role_type = content_type = element.valueType
+    elif isinstance(element, T.StructType) and {"role", "content"} <= set(element.fieldNames()):
+        role_type, content_type = element["role"].dataType, element["content"].dataType
+    else:
+        role_type = None
 
     def turn(item: Column, index: Column) -> Column:
-        if not readable:
+        if role_type is None:
             nothing = F.lit(None).cast("string")
             return _turn(F.lit(False), nothing, nothing, F.lit(False), index)
-        role, content = item["role"].cast("string"), item["content"].cast("string")
+        role = typed_text(item["role"], role_type)
+        content = typed_text(item["content"], content_type)
         has_keys = role.isNotNull() & content.isNotNull()
         return _turn(has_keys, role, content, F.lit(False), index)
 

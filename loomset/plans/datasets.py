@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomset.functions import render_chatml, template_renderer
@@ -22,10 +22,17 @@ from loomset.operators.split import (
     find_cut,
     split_key,
 )
-from loomset.sources import scan_json, scan_jsonl, stage
+from loomset.operators.rows import RESERVED, parsed_rows, path_of
+from loomset.sources import remove, scan_json, scan_jsonl, shared_dir, stage
 
 logger = logging.getLogger(__name__)
 
+# Internal columns: the line, what it holds, why it was refused, its place in the split.
+_LINE, _RAW = RESERVED + "line", RESERVED + "raw"
+_REFUSED, _KEY = RESERVED + "refused", RESERVED + "key"
+# The text, before it gets its final name.
+_TEXT = RESERVED + "text_out"
+
 PREFERENCE_COLUMNS = ("prompt", "chosen", "rejected")
 QUARANTINE_COLUMNS = ("source_file", "row_id", "value", "error_code", "error_index")
 
@@ -65,11 +72,32 @@ class Recipe:
     """What one kind of dataset makes of its rows."""
 
     transform: Callable[[DataFrame], DataFrame]
-    columns: tuple[str, ...]
+    # The columns that transform makes, and what they are called in the end.  A text
+    # column gets its own name last, so that it can be any name.
+    columns: tuple[tuple[str, str], ...]
     # The text column that must not be empty, if there is one to test.
     non_empty: str | None = None
 
 
+class Staging:
+    """Staged folders; those of a ``with`` block are deleted at its end."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        path = shared_dir(self._spark)
+        self._paths.append(path)
+        return stage(df, path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        for path in self._paths:
+            remove(self._spark, path)
+
+
 def sft_recipe(
     chat_template_fn: Callable[..., str] | None = None,
     system_prompt: str | None = None,
@@ -77,16 +105,18 @@ def sft_recipe(
 ) -> Recipe:
     renderer = template_renderer(chat_template_fn) if chat_template_fn else render_chatml
     return Recipe(
-        lambda rows: format_examples(rows, renderer, system_prompt, text_field=text_field),
-        (text_field,),
+        lambda rows: format_examples(rows, renderer, system_prompt, text_field=_TEXT, value=_RAW),
+        ((_TEXT, text_field),),
         # ChatML text always holds a turn marker; only a template can give "".
-        non_empty=text_field if chat_template_fn else None,
+        non_empty=_TEXT if chat_template_fn else None,
     )
 
 
 def corpus_recipe(text_field: str = "text") -> Recipe:
     return Recipe(
-        lambda rows: corpus_text(rows, text_field), (text_field,), non_empty=text_field
+        lambda rows: corpus_text(rows, text_field, value=_RAW, into=_TEXT),
+        ((_TEXT, text_field),),
+        non_empty=_TEXT,
     )
 
 
@@ -95,8 +125,8 @@ def preference_recipe(
 ) -> Recipe:
     renderer = template_renderer(chat_template_fn) if chat_template_fn else render_chatml
     return Recipe(
-        lambda rows: to_preference_examples(rows, renderer, system_prompt),
-        PREFERENCE_COLUMNS,
+        lambda rows: to_preference_examples(rows, renderer, system_prompt, value=_RAW),
+        tuple((c, c) for c in PREFERENCE_COLUMNS),
     )
 
 
@@ -156,34 +186,40 @@ def labelled_rows(
     val_split: float,
     seed: int,
     options: ReadOptions,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """All rows with ``split``: ``train``, ``eval`` or ``quarantine``.
 
     An eval file takes precedence over ``val_split``.  Without either, and with
-    an eval file, this is one narrow pass over the input and stays lazy.  With
-    ``val_split`` the transformed rows are staged first: finding the cut and
+    an eval file, this is one narrow pass over the input and stays lazy: each part
+    that is read parses the input again, and one write of all parts parses it once.
+    With ``val_split`` the transformed rows are staged first: finding the cut and
     reading the result would otherwise parse the input again each time.
     """
     check_val_split(val_split)
-    train = _transformed(spark, recipe, data_path, options)
+    train = _transformed(spark, recipe, data_path, options, seed if val_split and not eval_path else None)
     if eval_path:
         held_out = _transformed(spark, recipe, eval_path, options)
         return _with_split(train, "train").unionByName(_with_split(held_out, "eval"))
     if val_split == 0:
         return _with_split(train, "train")
 
-    good = F.col("error_code").isNull()
-    key = F.col("_key" if options.key_field else "_line")
-    keyed = train.withColumn(
-        SPLIT_KEY, F.when(good, split_key(key, seed, tie_break=F.col("row_id")))
-    )
-    staged = stage(keyed.drop("_key", "_line"))
-    cut = find_cut(staged.where(F.col(SPLIT_KEY).isNotNull()), val_split)
-    logger.info("dataset ready: %d train rows", cut.n_rows - cut.n_eval)
-    split = F.when(good, F.col("split")).otherwise("quarantine")
+    staged = (staging or Staging(spark)).stage(train)
+    good = staged.where(F.col("error_code").isNull())
+    if good.isEmpty():
+        raise ValueError(f"no row is left to split; {_told_errors(staged)}")
+    cut = find_cut(good, val_split)
+    logger.info("%d of %d rows are held out", cut.n_eval, cut.n_rows)
+    split = F.when(F.col("error_code").isNull(), F.col("split")).otherwise("quarantine")
     return assign_split(staged, cut).withColumn("split", split)
 
 
+def _told_errors(rows: DataFrame) -> str:
+    # One row per error code, of which there are few.
+    counts = rows.groupBy("error_code").count().orderBy("error_code").collect()
+    return ", ".join(f"{r['error_code']}: {r['count']}" for r in counts) or "the input is empty"
+
+
 def _load(
     spark: SparkSession,
     recipe: Recipe,
@@ -194,48 +230,64 @@ def _load(
     options: ReadOptions,
 ) -> PreparedData:
     rows = labelled_rows(spark, recipe, data_path, eval_path, val_split, seed, options)
-    return by_split(rows, recipe, bool(eval_path) or val_split > 0, options.on_error)
+    has_eval = bool(eval_path) or val_split > 0
+    return by_split(rows, recipe.columns, has_eval, options.on_error)
 
 
 def by_split(
-    rows: DataFrame, recipe: Recipe, has_eval: bool, on_error: str
+    rows: DataFrame, columns: tuple[tuple[str, str], ...], has_eval: bool, on_error: str
 ) -> PreparedData:
-    """Take labelled rows apart."""
+    """Take labelled rows apart, and give the columns their final names."""
 
-    def part(split: str, columns: tuple[str, ...]) -> DataFrame:
-        return rows.where(F.col("split") == split).select(*columns)
+    def part(split: str, *wanted: Column) -> DataFrame:
+        return rows.where(F.col("split") == split).select(*wanted)
 
+    texts = [F.col("`" + now.replace("`", "``") + "`").alias(final) for now, final in columns]
     return PreparedData(
-        part("train", recipe.columns),
-        part("eval", recipe.columns) if has_eval else None,
-        part("quarantine", QUARANTINE_COLUMNS) if on_error == "quarantine" else None,
+        part("train", *texts),
+        part("eval", *texts) if has_eval else None,
+        part("quarantine", *map(F.col, QUARANTINE_COLUMNS)) if on_error == "quarantine" else None,
     )
 
 
 def _transformed(
-    spark: SparkSession, recipe: Recipe, path: str | list[str], options: ReadOptions
+    spark: SparkSession,
+    recipe: Recipe,
+    path: str | list[str],
+    options: ReadOptions,
+    seed: int | None = None,
 ) -> DataFrame:
+    """Transformed rows; with ``seed``, good ones have the key of their split."""
     rows = (scan_json if options.json_documents else scan_jsonl)(spark, path)
-    # The line is kept beside the transformed columns as the row's identity.
-    line = F.to_json("value") if options.json_documents else F.col("value")
-    rows = rows.withColumn("_line", line)
-    keys = ["_line"]
-    if options.key_field:
-        # Rows without the key fall back to their whole text.
-        key = F.get_json_object("_line", f"$['{options.key_field}']")
-        rows = rows.withColumn("_key", F.coalesce(key, F.col("_line")))
-        keys.append("_key")
+    # A line is parsed here, once, and the row operators get a VARIANT.
+    if options.json_documents:
+        line = F.coalesce("line", F.to_json("value"))
+        rows = rows.select("source_file", "row_id", line.alias(_LINE), F.col("value").alias(_RAW))
+    else:
+        rows = parsed_rows(rows.select("source_file", "row_id", F.col("value").alias(_LINE)), _LINE, _RAW, _REFUSED)
+    if seed is not None:
+        key, content = F.col(_LINE), None
+        if options.key_field:
+            # Rows without the key fall back to their whole text.
+            field = F.try_variant_get(_RAW, "$" + path_of(options.key_field), "string")
+            key, content = F.coalesce(field, F.col(_LINE)), F.col(_LINE)
+        hashed = split_key(key, seed, tie_break=F.col("row_id"), content=content)
+        rows = rows.withColumn(_KEY, hashed)
     rows = recipe.transform(rows)
+    if not options.json_documents:
+        refused = F.struct(F.col(_REFUSED).alias("code"), F.lit(None).cast("int").alias("index"))
+        rows = rows.withColumn("error", F.when(F.col(_REFUSED).isNotNull(), refused).otherwise(F.col("error")))
     if options.on_error == "fail":
         rows = fail_on_error(rows)
     code = F.col("error.code")
     if recipe.non_empty:
         rows = rows.where(code.isNotNull() | (F.length(recipe.non_empty) > 0))
+    keys = [F.when(code.isNull(), F.col(_KEY)).alias(SPLIT_KEY)] if seed is not None else []
     return rows.select(
-        *recipe.columns,
+        *(now for now, _ in recipe.columns),
         "source_file",
         "row_id",
-        F.when(code.isNotNull(), F.col("_line")).alias("value"),
+        F.when(code.isNotNull(), F.col(_LINE)).alias("value"),
         code.alias("error_code"),
         F.col("error.index").alias("error_index"),
         *keys,
@@ -244,5 +296,4 @@ def _transformed(
 
 def _with_split(rows: DataFrame, name: str) -> DataFrame:
     split = F.when(F.col("error_code").isNull(), name).otherwise("quarantine")
-    return rows.withColumn("split", split).drop("_key", "_line")
-
+    return rows.withColumn("split", split)

@@ -9,6 +9,8 @@ from loomset.sources.files import (
     scan_jsonl,
 )
 from loomset.sources.sinks import (
+    exists,
+    remove,
     shared_dir,
     stage,
     write_jsonl,
@@ -20,6 +22,8 @@ __all__ = [
     "RoutedPaths",
     "SplitRoutes",
     "discover_corpus",
+    "exists",
+    "remove",
     "route_table",
     "scan_json",
     "scan_jsonl",

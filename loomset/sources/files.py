@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loomset.functions import JSON_PARSER, one_value, parse_json
 
 
 def scan_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per line: ``row_id``, ``source_file`` and the JSON text ``value``.
 
     Files are read as text and split by size, so one large file is read by many
-    tasks.  Blank lines hold no row.  ``row_id`` is unique within one run; the
-    text itself, not this id, is what a split depends on.
+    tasks.  Blank lines hold no row.  ``row_id`` is unique within one scan, and
+    (``source_file``, ``row_id``) across scans; the text itself, not this id, is what
+    a split depends on.
     """
     # Nearly every line starts with a brace, which is cheap to see.
     not_blank = F.col("value").startswith("{") | (
@@ -32,41 +37,69 @@ def scan_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def scan_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Like :func:`scan_jsonl` for files that each hold one JSON array or object.
 
-    ``value`` is a VARIANT.  A file is read by one task and has to fit into one
-    VARIANT, so large data should come as JSON Lines.
+    ``value`` is a VARIANT, an element of the array or the object.  A file that holds
+    something else is read as lines, each with its text in ``line``: nothing of it is
+    lost, and what is no JSON has a NULL ``value``.  A file is read by one task and has
+    to fit into one cell (2 GB), so large data should come as JSON Lines; an array may
+    be larger than a VARIANT (128 MiB), but not one of its elements.
     """
-    files = (
-        spark.read.format("json")
-        .option("multiLine", True)
-        .option("singleVariantColumn", "value")
-        .load(path)
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("source_file"), F.btrim("value", F.lit(" \t\r\n\ufeff")).alias("text")
     )
-    items = F.coalesce(
-        F.try_variant_get("value", "$", "array<variant>"), F.array(F.col("value"))
+    size = F.octet_length("text").cast("string")
+    array = F.from_json(
+        F.concat(F.lit("["), "text", F.lit(",["), size, F.lit("]]")),
+        "array<array<variant>>",
+        JSON_PARSER,
     )
-    rows = files.select(
-        F.col("_metadata.file_path").alias("source_file"), F.explode(items).alias("value")
+    read = files.where("text <> ''").select("*", array.alias("array"), parse_json(F.col("text")).alias("one"))
+    length = F.octet_length("text").cast("bigint")
+    end = F.try_variant_get(F.get(F.get("array", F.lit(1)), F.lit(0)), "$", "bigint")
+    is_array = (F.size("array") == 2) & (F.size(F.get("array", F.lit(1))) == 1) & (end == length)
+    is_one = (F.try_variant_get("one", "$[1]", "bigint") == length) & F.try_variant_get(
+        "one", "$[2]", "variant"
+    ).isNull()
+    no_text, lines = F.lit(None).cast("string"), F.split("text", "\n")
+    lines = F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\r")) != "")
+
+    def row(value: Column, line: Column) -> Column:
+        return F.struct(value.alias("value"), line.alias("line"))
+
+    rows = (
+        F.when(F.coalesce(is_array, F.lit(False)), F.transform(F.get("array", F.lit(0)), lambda x: row(x, no_text)))
+        .when(F.coalesce(is_one, F.lit(False)), F.array(row(F.try_variant_get("one", "$[0]", "variant"), no_text)))
+        .otherwise(F.transform(lines, lambda x: row(one_value(x), x)))
     )
-    return rows.select(
-        F.monotonically_increasing_id().alias("row_id"), "source_file", "value"
+    return (
+        read.select("source_file", F.explode(rows).alias("row"))
+        .select(F.monotonically_increasing_id().alias("row_id"), "source_file", "row.value", "row.line")
     )
 
 
 def discover_corpus(spark: SparkSession, root: str, name: str) -> str:
     """Path of the file called ``name`` anywhere below ``root``.
 
-    A directory of that name, as Spark writes it, is found as well.  Only the
-    listing is read.  With several hits the smallest path wins.
+    A directory of that name, as Spark writes it, is found as well.  Only listings are
+    read, one directory after the other, and only the smallest path is kept.  In the
+    result, characters that a path pattern gives a meaning are escaped, so that it can
+    be read as it is.
     """
-    below = spark.read.option("recursiveFileLookup", True)
-    hits = below.option("pathGlobFilter", name).text(root).inputFiles()
-    if not hits:
-        marker = f"/{name}/"
-        listed = below.option("pathGlobFilter", "*").text(root).inputFiles()
-        hits = [path[: path.index(marker) + len(marker) - 1] for path in listed if marker in path]
-    if not hits:
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    best, folders = None, [top]
+    while folders:
+        listing = files.listStatusIterator(folders.pop())
+        while listing.hasNext():
+            status = listing.next()
+            path = status.getPath()
+            if path.getName() == name:
+                best = min(filter(None, (best, path.toString())))
+            elif status.isDirectory():
+                folders.append(path)
+    if best is None:
         raise FileNotFoundError(f"{name} not found below {root}")
-    return min(hits)
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", best)
 
 
 class RoutedPaths(NamedTuple):
@@ -96,7 +129,7 @@ class SplitRoutes:
             return RoutedPaths(f"{root}/{self.corpora[specialist]}", None)
         if specialist and specialist not in self.datasets:
             known = sorted({*self.datasets, *self.corpora})
-            raise ValueError(f"unknown specialist {specialist!r}; use one of {known}")
+            raise ValueError(f"no route for {specialist!r}; there are {', '.join(known)}")
         name = self.datasets[specialist] if specialist else self.default
         stem = f"{root}/{name}/{name}"
         return RoutedPaths(f"{stem}.train.jsonl", f"{stem}.validation.jsonl")
@@ -113,9 +146,16 @@ class SplitRoutes:
 def route_table(spark: SparkSession, path: str, specialist: str) -> DataFrame:
     """Rows of one specialist of a table partitioned by ``specialist``, ``split``.
 
-    The predicate prunes partitions, so other specialists are not read.
+    The predicate prunes partitions, so other specialists are not read.  The names of
+    the partitions are text as they stand: ``007`` is not ``7``.
     """
-    rows = spark.read.parquet(path).where(F.col("specialist") == specialist)
+    found = spark.read.parquet(path).schema
+    named = [
+        T.StructField(f.name, T.StringType() if f.name in ("specialist", "split") else f.dataType)
+        for f in found.fields
+    ]
+    table = spark.read.schema(T.StructType(named)).parquet(path)
+    rows = table.where(F.col("specialist") == specialist)
     if rows.isEmpty():
-        raise ValueError(f"unknown specialist {specialist!r}")
+        raise ValueError(f"no specialist called {specialist!r} in {path}")
     return rows

@@ -9,8 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_split_table(df: DataFrame, path: str) -> None:
-    """Write Parquet with one directory per ``split``, in a single pass."""
-    df.write.partitionBy("split").parquet(path)
+    """Write Parquet with one directory per ``split``, in a single pass.
+
+    A task keeps one writer open for each of the three splits; without them it would
+    have to sort its rows by split first.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name, "0")
+    conf.set(name, "3")
+    try:
+        df.write.partitionBy("split").parquet(path)
+    finally:
+        conf.set(name, before)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something lies at ``path``, in whatever file system it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what lies at ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -42,12 +64,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/loomset-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet and read it back.
+def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet, to a new folder or to ``path``, and read it back.
 
     Later jobs then read only the columns that they need, and a lost executor
     does not bring back the work before this point.
     """
-    path = shared_dir(df.sparkSession)
+    path = path or shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

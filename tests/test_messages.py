@@ -4,8 +4,9 @@ import json
 
 import pytest
 
-from loomset import format_examples, render_brackets, to_chat_messages
+from loomset import format_examples, quarantined, scan_jsonl, template_renderer, to_chat_messages
 from loomset.functions import PYTHON_WHITESPACE
+from verify.queries import margin_text
 
 
 def chat(*turns):
@@ -22,12 +23,15 @@ def run(df, system_prompt=None):
 
 
 GOOD = {
-    "chat": (chat(("user", "hi"), ("assistant", "yo")), [("user", "hi"), ("assistant", "yo")]),
+    "chat": (
+        chat(("user", "which way is north"), ("assistant", "past the mill")),
+        [("user", "which way is north"), ("assistant", "past the mill")],
+    ),
     "instruction with context": (
-        {"instruction": "Summarize", "context": "Long text", "response": "Short"},
-        [("user", "Summarize\n\nLong text"), ("assistant", "Short")],
+        {"instruction": "Count the boats.", "context": "two boats, one raft", "response": "two"},
+        [("user", "Count the boats.\n\ntwo boats, one raft"), ("assistant", "two")],
     ),
-    "output alias": ({"instruction": "Q", "output": "A"}, [("user", "Q"), ("assistant", "A")]),
+    "output alias": ({"instruction": "spell tin", "output": "t i n"}, [("user", "spell tin"), ("assistant", "t i n")]),
     "prompt completion": (
         {"prompt": "P", "completion": "C"}, [("user", "P"), ("assistant", "C")],
     ),
@@ -105,7 +109,7 @@ BAD = {
     "null output": ({"instruction": "x", "output": None}, "MISSING_RESPONSE", None),
     "null instruction": ({"instruction": None, "output": "a"}, "NULL_FIELD", None),
     "null prompt": ({"prompt": None, "completion": "c"}, "NULL_FIELD", None),
-    "wizard": (chat(("wizard", "x")), "INVALID_ROLE", 0),
+    "strange role": (chat(("narrator", "x")), "INVALID_ROLE", 0),
     "upper case role": (chat(("User", "x")), "INVALID_ROLE", 0),
     "null role": (chat((None, "x")), "INVALID_ROLE", 0),
     "number role": (chat((5, "x")), "INVALID_ROLE", 0),
@@ -194,36 +198,36 @@ def test_system_prompt(json_rows):
     own = chat(("system", "sys"), ("user", "u"))
     later = chat(("user", "u"), ("system", "late"))
     rows = json_rows(pc, own, later, {"foo": 1})
-    first = [turns and turns[0] for _, _, turns in run(rows, "be nice")]
-    assert first == [("system", "be nice"), ("system", "sys"), ("system", "be nice"), None]
-    assert [t and len(t) for _, _, t in run(rows, "be nice")] == [3, 2, 3, None]
+    first = [turns and turns[0] for _, _, turns in run(rows, "Answer in verse.")]
+    assert first == [("system", "Answer in verse."), ("system", "sys"), ("system", "Answer in verse."), None]
+    assert [t and len(t) for _, _, t in run(rows, "Answer in verse.")] == [3, 2, 3, None]
     assert run(rows, "") == run(rows, None)
 
 
 def test_typed_table_counts_a_column_as_present_when_not_null(spark):
     df = spark.createDataFrame(
         [
-            (0, None, "Q", None, None, "A", None, None),
+            (0, None, "spell tin", None, None, "t i n", None, None),
             (1, None, None, None, None, None, "P", "C"),
-            (2, [("user", "hi")], "Q", None, None, None, None, None),
+            (2, [("user", "north")], "spell", None, None, None, None, None),
             (3, [], None, None, None, None, None, None),
             (4, [(None, "x")], None, None, None, None, None, None),
             (5, [("user", None)], None, None, None, None, None, None),
             (6, None, None, None, None, None, "P", None),
-            (7, None, "Q", "ctx", "R", "A", None, None),
+            (7, None, "spell", "tin", "t i n", "no", None, None),
         ],
         "row_id bigint, messages array<struct<role:string,content:string>>, instruction string,"
         "context string, response string, output string, prompt string, completion string",
     )
     assert run(df) == [
-        (None, None, [("user", "Q"), ("assistant", "A")]),
+        (None, None, [("user", "spell tin"), ("assistant", "t i n")]),
         (None, None, [("user", "P"), ("assistant", "C")]),
-        (None, None, [("user", "hi")]),
+        (None, None, [("user", "north")]),
         ("MESSAGES_EMPTY", None, None),
         ("MESSAGE_KEYS", 0, None),
         ("MESSAGE_KEYS", 0, None),
         ("UNKNOWN_SCHEMA", None, None),
-        (None, None, [("user", "Q\n\nctx"), ("assistant", "R")]),
+        (None, None, [("user", "spell\n\ntin"), ("assistant", "t i n")]),
     ]
 
 
@@ -254,9 +258,107 @@ def test_chatml_text(json_rows):
     assert texts(rows, system_prompt="S") == [system + text, None]
 
 
-def test_bracket_text(json_rows):
-    rows = json_rows({"prompt": "P", "completion": "C"})
-    assert texts(rows, renderer=render_brackets) == ["[user]P[assistant]C"]
+def test_own_renderer(json_rows):
+    rows = json_rows({"prompt": " P\n", "completion": "C"})
+    assert texts(rows, renderer=margin_text) == ["     user > P\nassistant > C"]
+
+
+def test_a_template_that_refuses_a_row(json_rows):
+    def template(messages, tokenize=False, add_generation_prompt=False):
+        if messages[0]["content"] == "no":
+            raise RuntimeError("not this one")
+        return messages[0]["content"]
+
+    rows = json_rows({"prompt": "yes", "completion": "C"}, {"prompt": "no", "completion": "C"}, {"foo": 1})
+    done = format_examples(rows, renderer=template_renderer(template)).orderBy("row_id").collect()
+    assert [(r.error.code, r.text) for r in done] == [
+        (None, "yes"), ("TEMPLATE_FAILED", None), ("UNKNOWN_SCHEMA", None),
+    ]
+
+
+SPLIT_LINES = [
+    '{"prompt":"p","completion":"c"},"x":1',
+    '{"prompt":"p","completion":"c"},"end":5} garbage',
+    '{"text":"a"},"end":0}{"text":"b"}',
+    '{"prompt":"p","completion":"c"},31',
+    '{"prompt":"p","completion":"c"}],[1',
+    '{"prompt":"p","completion":"c"},34]',
+]
+
+
+@pytest.mark.parametrize("line", SPLIT_LINES)
+def test_lines_that_close_the_wrapper(json_rows, line):
+    assert [r.error_code for r in quarantined(to_chat_messages(json_rows(line))).collect()] == ["BAD_JSON"]
+
+
+def test_a_line_can_not_state_its_own_length(json_rows):
+    """Of all lengths that a line could claim, none makes it two values."""
+    head = '{"prompt":"p","completion":"c"},'
+    rows = json_rows(*[f"{head}{n}" for n in range(20, 60)])
+    assert quarantined(to_chat_messages(rows)).count() == 40
+
+
+def test_deep_rows(json_rows):
+    def nested(n):
+        return '{"prompt":"p","completion":"c","x":%s%s}' % ("[" * n, "]" * n)
+
+    found = run(json_rows(nested(1200), nested(5000), nested(100_000)))
+    assert [code for code, _, _ in found] == [None, "ROW_TOO_LARGE", "ROW_TOO_LARGE"]
+
+
+@pytest.mark.parametrize(
+    ("size", "end", "code"),
+    [
+        (21_000_000, '","completion":"c"}', None),
+        # a VARIANT ends at 128 MiB; valid rows beyond it are told from broken ones
+        (140_000_000, '","completion":"c"}', "ROW_TOO_LARGE"),
+        (140_000_000, '"', "BAD_JSON"),
+    ],
+)
+def test_very_long_texts(spark, tmp_path, size, end, code):
+    path = tmp_path / "long.jsonl"
+    path.write_text('{"prompt":"' + "x" * size + end + "\n")
+    rows = to_chat_messages(scan_jsonl(spark, str(path)))
+    found = rows.selectExpr("error.code", "length(messages[0].content) as n").collect()
+    assert [(r.code, r.n) for r in found] == [(code, None if code else size)]
+
+
+VALUES = [True, False, 0, 5, -3, 1.0, 1.5, -0.25, 1e7, 123456789.25, 1e-4, 2.5e-5, 1e16, 1.5e300, -1e-7]
+
+
+def test_typed_values_read_like_those_of_json(spark, json_rows):
+    """The same values, from JSON text and from typed columns."""
+    lines = [{"instruction": "i", "context": v, "output": v} for v in VALUES]
+    lines += [{"messages": [{"role": "user", "content": v}]} for v in VALUES]
+    raw = [turns for _, _, turns in run(json_rows(*lines))]
+    assert [t[-1][1] for t in raw] == [str(v) for v in VALUES] * 2
+    kinds = {bool: "boolean", int: "bigint", float: "double"}
+    for i, v in enumerate(VALUES):
+        kind = kinds[type(v)]
+        table = spark.createDataFrame(
+            [(0, None, "i", v, v), (1, [("user", v)], None, None, None)],
+            f"row_id bigint, messages array<struct<role:string,content:{kind}>>,"
+            f"instruction string, context {kind}, output {kind}",
+        )
+        assert [turns for _, _, turns in run(table)] == [raw[i], raw[i + len(VALUES)]]
+
+
+def test_typed_nested_values(spark):
+    table = spark.createDataFrame([(0, "p", (1, ["a"]))], "row_id bigint, prompt string, completion struct<a:int,b:array<string>>")
+    assert run(table)[0][2][1] == ("assistant", '{"a":1,"b":["a"]}')
+
+
+def test_integers_of_more_than_38_digits_are_floats(json_rows):
+    line = '{"prompt": %s, "completion": "c"}' % ("1" * 45)
+    role, text = run(json_rows(line))[0][2][0]
+    assert text.endswith("e+44") and float(text) == pytest.approx(float("1" * 45), rel=1e-15)
+
+
+def test_a_typed_table_may_have_a_column_value(spark):
+    table = spark.createDataFrame([(0, "p", "c", "v")], "row_id bigint, prompt string, completion string, value string")
+    assert run(table) == [(None, None, [("user", "p"), ("assistant", "c")])]
+    only = spark.createDataFrame([(0, '{"prompt":"p","completion":"c"}')], "row_id bigint, value string")
+    assert [r.error.code for r in to_chat_messages(only, value=None).collect()] == ["UNKNOWN_SCHEMA"]
 
 
 def test_long_text_is_kept_whole(json_rows):

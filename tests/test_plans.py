@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from verify.queries import QUERIES
 from loomset import (
+    ReadOptions,
     accepted,
     corpus_text,
     format_examples,
@@ -11,9 +12,13 @@ from loomset import (
     to_chat_messages,
     to_preference_examples,
 )
+from loomset.plans.datasets import _transformed, corpus_recipe
+from loomset.sources import write_split_table
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_ON_PURPOSE = {"render_with_template_fn"}
+#: The parse of a line, as plans show it.
+PARSE = "from_json(VariantType"
 
 
 def plan(df):
@@ -21,7 +26,7 @@ def plan(df):
 
 
 def test_native_queries_stay_in_the_jvm(spark):
-    found = {name for name, query in queries().items() if "EvalPython" in plan(query(spark, SF_DIR))}
+    found = {name for name, query in QUERIES.items() if "EvalPython" in plan(query(spark, SF_DIR))}
     assert found == PYTHON_ON_PURPOSE
 
 
@@ -30,7 +35,7 @@ def test_row_operators_need_no_shuffle(spark, json_rows):
     for df in (accepted(format_examples(rows)), accepted(corpus_text(rows)), accepted(to_chat_messages(rows, "S"))):
         text = plan(df)
         assert "Exchange" not in text
-        assert text.count("parseJson") == 1
+        assert text.count(PARSE) == 1
 
 
 def test_typed_tables_read_only_the_columns_they_need(spark, tmp_path):
@@ -77,3 +82,23 @@ def test_row_operators_work_on_a_stream(spark, tmp_path):
     assert query.awaitTermination(120)
     got = [r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert got == ["<|im_start|>user\nP<|im_end|>\n<|im_start|>assistant\nC<|im_end|>"]
+
+
+def test_the_key_comes_from_the_one_parse(spark, tmp_path):
+    path = tmp_path / "c.jsonl"
+    path.write_text('{"text":"a","id":1}\n{"text":"b","id":2}\n')
+    rows = _transformed(spark, corpus_recipe(), str(path), ReadOptions(key_field="id"), seed=42)
+    text = plan(rows)
+    assert text.count(PARSE) == 1 and "get_json_object" not in text
+
+
+def test_writing_by_split_needs_no_sort(spark, tmp_path):
+    seen = []
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    df = spark.range(10).selectExpr("id", "if(id % 2 = 0, 'train', 'eval') as split")
+    write_split_table(df, str(tmp_path / "t"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    store = spark._jsparkSession.sharedState().statusStore()
+    last = store.executionsList(max(0, store.executionsCount() - 1), 1).head()
+    seen.append(last.physicalPlanDescription())
+    assert "Sort" not in seen[0] and "InsertIntoHadoopFs" in seen[0]

@@ -2,8 +2,8 @@
 
 import pytest
 
-from loomset import render_brackets, to_preference_examples
-from loomset.functions import template_renderer
+from loomset import template_renderer, to_preference_examples
+from verify.queries import margin_text
 
 
 def run(df, **kwargs):
@@ -20,26 +20,26 @@ def turns(*pairs):
 
 def test_prompts(json_rows):
     rows = json_rows(
-        {"prompt": "Why?", **PAIR},
+        {"prompt": "How tall is it?", **PAIR},
         {"messages": turns(("user", "m"), ("assistant", "a")), "prompt": "p", **PAIR},
         {"prompt": "p", "instruction": "i", **PAIR},
-        {"instruction": "Do X", "context": "ctx", **PAIR},
-        {"instruction": "Do X", "context": "", **PAIR},
+        {"instruction": "Sort these.", "context": "b a", **PAIR},
+        {"instruction": "Sort these.", "context": "", **PAIR},
         {"messages": turns(("system", "own"), ("user", "u")), **PAIR},
     )
-    got = [prompt for _, _, prompt, _, _ in run(rows, renderer=render_brackets)]
+    got = [prompt for _, _, prompt, _, _ in run(rows, renderer=margin_text)]
     assert got == [
-        "[user]Why?[assistant]",
-        "[user]m[assistant]a[assistant]",
-        "[user]p[assistant]",
-        "[user]Do X\n\nctx[assistant]",
-        "[user]Do X[assistant]",
-        "[system]own[user]u[assistant]",
+        "     user > How tall is it?\nassistant > ",
+        "     user > m\nassistant > a\nassistant > ",
+        "     user > p\nassistant > ",
+        "     user > Sort these.\n\nb a\nassistant > ",
+        "     user > Sort these.\nassistant > ",
+        "   system > own\n     user > u\nassistant > ",
     ]
-    with_system = [p for _, _, p, _, _ in run(rows, renderer=render_brackets, system_prompt="S")]
-    assert with_system == [p if p.startswith("[system]") else "[system]S" + p for p in got]
+    with_system = [p for _, _, p, _, _ in run(rows, renderer=margin_text, system_prompt="S")]
+    assert with_system == [p if p.startswith("   system") else "   system > S\n" + p for p in got]
     chatml = run(rows)[3]
-    assert chatml[2] == "<|im_start|>user\nDo X\n\nctx<|im_end|>\n<|im_start|>assistant\n"
+    assert chatml[2] == "<|im_start|>user\nSort these.\n\nb a<|im_end|>\n<|im_start|>assistant\n"
     assert chatml[3:] == ("good", "bad")
 
 
@@ -53,6 +53,14 @@ def test_python_template(json_rows):
     assert [r[2] for r in got] == ["S|p", None]
 
 
+def test_a_template_that_refuses_a_row(json_rows):
+    def template(messages, tokenize=False, add_generation_prompt=False):
+        raise ValueError("never")
+
+    got = run(json_rows({"prompt": "p", **PAIR}), renderer=template_renderer(template))
+    assert got == [("TEMPLATE_FAILED", None, None, None, None)]
+
+
 BAD = [
     ({"prompt": "p", "chosen": "c"}, "PREF_MISSING_FIELDS", None),
     ({"prompt": "p", "rejected": "c"}, "PREF_MISSING_FIELDS", None),
@@ -61,7 +69,7 @@ BAD = [
     (PAIR, "UNKNOWN_SCHEMA", None),
     ({"completion": "c", **PAIR}, "UNKNOWN_SCHEMA", None),
     ({"messages": [], **PAIR}, "MESSAGES_EMPTY", None),
-    ({"messages": turns(("user", "a"), ("Wizard", "b")), **PAIR}, "INVALID_ROLE", 1),
+    ({"messages": turns(("user", "a"), ("Narrator", "b")), **PAIR}, "INVALID_ROLE", 1),
     ({"messages": ["x"], **PAIR}, "MESSAGE_KEYS", 0),
     ({"messages": None, "prompt": "p", **PAIR}, "MESSAGES_EMPTY", None),
     ({"prompt": None, **PAIR}, "NULL_FIELD", None),
@@ -87,10 +95,10 @@ def test_typed_table(spark):
         [(0, "p", None, "c", "r"), (1, None, "i", "c", "r"), (2, "p", None, None, "r"), (3, None, None, "c", "r")],
         "row_id bigint, prompt string, instruction string, chosen string, rejected string",
     )
-    got = run(df, renderer=render_brackets)
+    got = run(df, renderer=margin_text)
     assert [(r[0], r[2]) for r in got] == [
-        (None, "[user]p[assistant]"),
-        (None, "[user]i[assistant]"),
+        (None, "     user > p\nassistant > "),
+        (None, "     user > i\nassistant > "),
         ("PREF_MISSING_FIELDS", None),
         ("UNKNOWN_SCHEMA", None),
     ]

@@ -62,7 +62,7 @@ def test_no_rows_for_training(spark):
     with pytest.raises(ValueError, match="no training rows"):
         run(spark, [(1, "a")], 0.5)
     with pytest.raises(ValueError, match="empty"):
-        find_cut(spark.createDataFrame([], "split_key string"), 0.5)
+        find_cut(spark.createDataFrame([], "split_key binary"), 0.5)
 
 
 def test_no_split(spark):
@@ -88,3 +88,16 @@ def test_assigning_the_split_needs_no_shuffle(spark):
 def test_any_keys(spark, keys, fraction, limit):
     rows = list(enumerate(keys))
     assert run(spark, rows, fraction, max_bucket_rows=limit) == expected_eval(rows, fraction)
+
+
+def test_null_keys_count(spark):
+    rows = [(i, None if i % 2 else f"k{i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "id bigint, key string")
+    got = holdout_split(df, 0.1, "key", tie_break=F.col("id")).collect()
+    assert sum(r.split == "eval" for r in got) == 10 and len(got) == 100
+
+
+@pytest.mark.parametrize("tie", ["x", 1.5])
+def test_tie_break_is_a_whole_number(spark, tie):
+    with pytest.raises(ValueError, match="tie_break"):
+        holdout_split(spark.range(10), 0.5, "id", tie_break=F.lit(tie))

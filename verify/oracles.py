@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from loomset.functions import PYTHON_WHITESPACE
 from verify.rows import SYSTEM_PROMPT
 
 # Rows of verify.rows.sft_lines: kind, error and turns of each document.
@@ -46,6 +47,13 @@ def chatml(turns: str, key: str, order: str, role: str = "role", content: str =
       || '<|im_end|>', chr(10) order by {order}) as text from {turns} group by {key}"""
 
 
+def margin(content: str, order: str) -> str:
+    """The text of verify.queries.margin_template, with a generation prompt."""
+    blanks = " || ".join(f"chr({ord(c)})" for c in PYTHON_WHITESPACE)
+    turn = f"lpad(role, 9, ' ') || ' > ' || trim({content}, {blanks})"
+    return f"string_agg({turn}, chr(10) order by {order}) || chr(10) || 'assistant > '"
+
+
 OPEN_TURN = "chr(10) || '<|im_start|>assistant' || chr(10)"
 
 # Conversations with the system turn put first where there was none.
@@ -78,17 +86,23 @@ turn as (
 PREFERENCE_EXAMPLE = f"""
 with {PREFERENCE}, prompts as ({chatml("turn", "doc_id", "i")})
 select doc_id, prompts.text || {OPEN_TURN} as prompt, doc.text as chosen,
-  substr(doc.text, 1, 20) as rejected
+  doc.text || ' Or not.' as rejected
 from prompts join doc using (doc_id)
 """
 
 # Rows of verify.rows.corpus_lines that are good and not empty.
 CORPUS = """
 corpus as (
-  select doc_id, case when doc_id % 10 = 1 then ' ' else text end as text
-  from documents where doc_id % 10 = 1 or doc_id % 10 >= 5)
+  select doc_id, text from documents where text <> ''
+  union all select -1 - doc_id, ' ' from documents where doc_id % 5 = 1)
 """
 
+# The same, with empty texts.
+CORPUS_ROWS = """
+select doc_id as row_id, text as {0} from documents where text is not null
+union all select -1 - doc_id, case doc_id % 5 when 0 then '' else ' ' end from documents
+where doc_id % 5 < 2"""
+
 
 def split(rows: str, fraction: float, key: str = "doc_id", tie: str = "doc_id") -> str:
     return f"""select *, case when rank_no <= ceil({fraction}::double * n) then 'eval'
@@ -102,6 +116,8 @@ CORPUS_SPLIT = f"with {CORPUS} select text, split from ({split('corpus', 0.05)})
 
 ORACLES: dict[str, str] = {
     "scan_jsonl": "select doc_id, text, source from documents",
+    "scan_json": "select doc_id, text, source from documents",
+    "json_document_corpus": CORPUS_SPLIT,
     "eval_file_precedence": f"""
         with {SFT}
         select text, 'train' as split from ({chatml("own_turn", "doc_id", "i")})
@@ -162,9 +178,8 @@ ORACLES: dict[str, str] = {
         select item_id, '<|im_start|>system' || chr(10) || '{SYSTEM_PROMPT}<|im_end|>' || chr(10)
           || '<|im_start|>user' || chr(10) || text || '<|im_end|>' || {OPEN_TURN} as prompt
         from benchmark""",
-    "render_bracket_template": """
-        select conv_id, string_agg('[' || role || ']' || text, '' order by turn)
-          || '[assistant]' as text from conversations group by 1""",
+    "render_bracket_template": f"""
+        select conv_id, {margin("text", "turn")} as text from conversations group by 1""",
     "format_example": f"""
         with {SFT}
         select doc_id as row_id, text || {OPEN_TURN} as text
@@ -175,19 +190,14 @@ ORACLES: dict[str, str] = {
         with {PREFERENCE} select doc_id as row_id, schema_kind from kinds""",
     "render_preference_prompt": f"""
         with {PREFERENCE}
-        select doc_id as row_id, string_agg('[' || role || ']' || content, '' order by i)
-          || '[assistant]' as prompt from turn group by 1""",
+        select doc_id as row_id, {margin("content", "i")} as prompt from turn group by 1""",
     "to_preference_example": f"""
         select doc_id as row_id, prompt, chosen, rejected from ({PREFERENCE_EXAMPLE})""",
-    "corpus_project": """
-        select doc_id as row_id, case doc_id % 10 when 0 then '' when 1 then ' ' else text end
-          as text from documents where doc_id % 10 not in (2, 3, 4)""",
-    "corpus_text_field": """
-        select doc_id as row_id, case doc_id % 10 when 0 then '' when 1 then ' ' else text end
-          as body from documents where doc_id % 10 not in (2, 3, 4)""",
+    "corpus_project": CORPUS_ROWS.format("text"),
+    "corpus_text_field": CORPUS_ROWS.format("body"),
     "drop_empty_text": """
-        select doc_id, case doc_id % 10 when 1 then ' ' else text end as text
-        from documents where doc_id % 10 <> 0""",
+        select doc_id, text from documents where text <> ''
+        union all select doc_id, ' ' from documents where doc_id % 2 = 1""",
     "valid_role": """
         select conv_id, turn, (turn % 4 in (0, 2))::bigint as valid from conversations""",
     "classify_errors": f"""
@@ -197,6 +207,15 @@ ORACLES: dict[str, str] = {
         with {SFT} select error_code, count(*) as n_rows from row_kind group by 1""",
     "holdout_split": f"select doc_id, split from ({split('documents', 0.05)})",
     "holdout_split_copies": f"select doc_id, split from ({split('documents', 0.3, 'text')})",
+    "holdout_split_null_keys": """
+        select doc_id, case when rank_no <= ceil(0.1::double * n) then 'eval' else 'train' end as split
+        from (select doc_id, count(*) over () as n, row_number() over (order by
+                case when doc_id % 2 = 0 then md5('42:' || doc_id::varchar) else md5('42') end,
+                doc_id) as rank_no
+              from documents)""",
+    "holdout_split_layouts": """
+        select ceil(0.2::double * count(*))::bigint as held_out, 2::bigint as least,
+          2::bigint as most from documents""",
     "dataset_ready_count": f"""
         select split, count(*) as n_rows from ({split('documents', 0.07)}) group by 1""",
     "sft_dataset": f"""
@@ -207,6 +226,19 @@ ORACLES: dict[str, str] = {
         with examples as ({PREFERENCE_EXAMPLE})
         select prompt, chosen, rejected, split from ({split("examples", 0.2)})""",
     "prep_job": CORPUS_SPLIT,
+    "fail_on_error": """
+        select doc_id as row_id, '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10)
+          || '<|im_start|>assistant' || chr(10) || lang || '<|im_end|>' as text from documents""",
+    "text_field_called_split": f"select text, split as part from ({CORPUS_SPLIT})",
     "write_roundtrip": f"select text, split from ({split('documents', 0.05)})",
 }
 ORACLES["render_with_template_fn"] = ORACLES["render_bracket_template"]
+ORACLES["prep_job_sft"] = ORACLES["sft_dataset"]
+ORACLES["prep_job_preference"] = ORACLES["dpo_dataset"]
+ORACLES["profile_keys_preview"] = """
+    select case when k in (0, 4, 9, 19) then 'doc_id,messages'
+        when k in (1, 5) then 'context,doc_id,instruction,response'
+        when k = 2 then 'doc_id,instruction,output'
+        else 'completion,doc_id,prompt' end as keys, count(*) as n_rows, true as shown
+    from (select doc_id % 20 as k from documents)
+    where k in (0, 1, 2, 3, 4, 5, 9, 17, 18, 19) group by 1"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomset import (
@@ -17,6 +17,7 @@ from loomset import (
     discover_corpus,
     drop_empty_text,
     error_summary,
+    fail_on_error,
     format_examples,
     holdout_split,
     load_dpo_dataset,
@@ -25,10 +26,10 @@ from loomset import (
     prepend_system_prompt,
     profile_keys,
     quarantined,
-    render_brackets,
     render_chatml,
     route_table,
     run_prep_job,
+    scan_json,
     scan_jsonl,
     template_renderer,
     to_chat_messages,
@@ -44,6 +45,7 @@ from verify.rows import (
     sft_lines,
     sft_table,
     table,
+    write_documents,
     write_lines,
 )
 
@@ -72,10 +74,21 @@ def _two_turns(df: DataFrame) -> DataFrame:
     )
 
 
-def bracket_template(messages, tokenize=False, add_generation_prompt=False):
-    """A chat template as a caller would bring it."""
-    text = "".join(f"[{m['role']}]{m['content']}" for m in messages)
-    return text + "[assistant]" if add_generation_prompt else text
+def margin_template(messages, tokenize=False, add_generation_prompt=False):
+    """A chat template as a caller would bring it: the speaker in the margin."""
+    turns = [f"{m['role']:>9} > {m['content'].strip()}" for m in messages]
+    return "\n".join(turns + ["assistant > "] * add_generation_prompt)
+
+
+def margin_text(messages: Column, add_generation_prompt: bool = False) -> Column:
+    """The same template as an expression."""
+    turns = F.transform(
+        messages,
+        lambda m: F.concat(F.lpad(m["role"], 9, " "), F.lit(" > "), py_strip(m["content"])),
+    )
+    if add_generation_prompt:
+        turns = F.concat(turns, F.array(F.lit("assistant > ")))
+    return F.array_join(turns, "\n")
 
 
 # Sources
@@ -88,6 +101,22 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select(row.alias("row")).select("row.doc_id", "row.text", "row.source")
 
 
+def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    lines = documents.select(
+        F.col("doc_id").alias("row_id"), F.to_json(F.struct("doc_id", "text", "source")).alias("value")
+    )
+    scanned = scan_json(spark, write_documents(lines))
+    row = F.try_variant_get("value", "$", "struct<doc_id:bigint,text:string,source:string>")
+    return scanned.select(row.alias("row")).select("row.doc_id", "row.text", "row.source")
+
+
+def json_document_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_documents(corpus_lines(spark, sf_dir))
+    options = ReadOptions(key_field="doc_id", json_documents=True)
+    return _labelled(load_text_corpus(spark, path, val_split=0.05, options=options))
+
+
 def eval_file_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(
         F.to_json(
@@ -121,7 +150,16 @@ def route_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = profile_keys(sft_lines(spark, sf_dir))
-    return profile.select(F.coalesce("keys", F.lit("-")).alias("keys"), "n_rows")
+    keys = F.coalesce(F.array_join("keys", ","), F.lit("-"))
+    return profile.select(keys.alias("keys"), "n_rows")
+
+
+def key_profile_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered example of each key set, over rows that differ by their id alone."""
+    rows = sft_lines(spark, sf_dir)
+    shown = format_examples(rows.withColumn("line", F.col("value")), value="value")
+    profile = profile_keys(shown.where("error.code is null"), "line", preview="text")
+    return profile.select(F.array_join("keys", ",").alias("keys"), "n_rows", F.col("example").isNotNull().alias("shown"))
 
 
 # Rows to messages
@@ -190,12 +228,12 @@ def generation_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bracket_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = render_brackets(F.col("messages"), add_generation_prompt=True)
+    text = margin_text(F.col("messages"), add_generation_prompt=True)
     return conversations(spark, sf_dir).select("conv_id", text.alias("text"))
 
 
 def template_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    render = template_renderer(bracket_template)
+    render = template_renderer(margin_template)
     text = render(F.col("messages"), True)
     return conversations(spark, sf_dir).select("conv_id", text.alias("text"))
 
@@ -221,7 +259,7 @@ def detect_preference_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preference_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = to_preference_examples(
-        preference_lines(spark, sf_dir), render_brackets, SYSTEM_PROMPT
+        preference_lines(spark, sf_dir), margin_text, SYSTEM_PROMPT
     )
     return accepted(rows).select("row_id", "prompt")
 
@@ -245,10 +283,10 @@ def corpus_text_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def non_empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("doc_id") % 10
-    text = F.when(kind == 0, "").when(kind == 1, " ").otherwise(F.col("text"))
-    documents = table(spark, sf_dir, "documents").withColumn("text", text)
-    return drop_empty_text(documents).select("doc_id", "text")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kind = F.col("doc_id") % 2
+    blank = documents.withColumn("text", F.when(kind == 0, "").otherwise(" "))
+    return drop_empty_text(documents.union(blank))
 
 
 def valid_role(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +320,32 @@ def split_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return holdout_split(documents, 0.3, "text", tie_break=tie).select("doc_id", "split")
 
 
+def split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other document has no key; they count like the others."""
+    key = F.when(F.col("doc_id") % 2 == 0, F.col("doc_id"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", key.alias("key"))
+    tie = F.col("doc_id")
+    return holdout_split(documents, 0.1, "key", tie_break=tie).select("doc_id", "split")
+
+
+def split_of_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten documents share a key; whatever the files, the same ones are held out."""
+    lines = table(spark, sf_dir, "documents").select(
+        F.to_json(F.struct((F.col("doc_id") % 97).alias("key"), F.format_string("%012d", "doc_id").alias("text"), F.col("text").alias("body"))).alias("value"),
+        "doc_id",
+    )
+    options = ReadOptions(key_field="key")
+    parts = []
+    for name, rows in (
+        ("up", lines.orderBy("doc_id")),
+        ("down", lines.repartition(7, "doc_id").sortWithinPartitions(F.desc("doc_id"))),
+    ):
+        data = load_text_corpus(spark, write_lines(rows), val_split=0.2, options=options)
+        parts.append(data.eval.select("text", F.lit(name).alias("layout")))
+    both = parts[0].union(parts[1]).groupBy("text").agg(F.count("*").alias("n"))
+    return both.agg(F.count("*").alias("held_out"), F.min("n").alias("least"), F.max("n").alias("most"))
+
+
 def ready_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id")
     return dataset_ready_count(holdout_split(documents, 0.07, "doc_id"))
@@ -319,12 +383,46 @@ def prep_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dataset": {
             "path": write_lines(corpus_lines(spark, sf_dir)),
             "val_split": 0.05,
-            "max_seq_length": 1024,
         },
     }
     return _labelled(run_prep_job(spark, job, shared_dir(spark), options=BY_DOC))
 
 
+def prep_job_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dataset = {
+        "path": write_lines(sft_lines(spark, sf_dir)),
+        "val_split": 0.1,
+        "system_prompt": SYSTEM_PROMPT,
+    }
+    return _labelled(run_prep_job(spark, {"dataset": dataset}, shared_dir(spark), options=BY_DOC))
+
+
+def prep_job_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dataset = {
+        "path": write_lines(preference_lines(spark, sf_dir)),
+        "val_split": 0.2,
+        "system_prompt": SYSTEM_PROMPT,
+    }
+    job = {"mode": "preference", "dataset": dataset}
+    return _labelled(run_prep_job(spark, job, shared_dir(spark), options=BY_DOC))
+
+
+def all_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are all good pass the check that fails at a bad one."""
+    text, lang = F.col("text"), F.col("lang")
+    line = F.to_json(F.struct(text.alias("prompt"), lang.alias("completion")))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), line.alias("value"))
+    return fail_on_error(format_examples(rows)).select("row_id", "text")
+
+
+def field_called_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text field with the name of a column that the split uses."""
+    path = write_lines(corpus_lines(spark, sf_dir, "split"))
+    data = load_text_corpus(spark, path, val_split=0.05, text_field="split", options=BY_DOC)
+    train = data.train.select(F.col("split").alias("text"), F.lit("train").alias("part"))
+    return train.union(data.eval.select("split", F.lit("eval")))
+
+
 def write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark)
     documents = holdout_split(
@@ -338,10 +436,13 @@ def write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_jsonl": scan_lines,
+    "scan_json": scan_documents,
+    "json_document_corpus": json_document_corpus,
     "eval_file_precedence": eval_file_precedence,
     "discover_corpus": find_corpus,
     "route_split": route_split,
     "profile_keys": key_profile,
+    "profile_keys_preview": key_profile_preview,
     "detect_sft_schema": detect_sft_schema,
     "normalize_messages": normalize_messages,
     "instruction_to_messages": instruction_to_messages,
@@ -368,10 +469,16 @@ QUERIES: dict[str, Query] = {
     "error_summary": errors_by_code,
     "holdout_split": split_documents,
     "holdout_split_copies": split_by_text,
+    "holdout_split_null_keys": split_null_keys,
+    "holdout_split_layouts": split_of_layouts,
     "dataset_ready_count": ready_count,
     "sft_dataset": sft_dataset,
     "text_corpus": text_corpus,
     "dpo_dataset": dpo_dataset,
     "prep_job": prep_job,
+    "prep_job_sft": prep_job_sft,
+    "prep_job_preference": prep_job_preference,
+    "fail_on_error": all_good,
+    "text_field_called_split": field_called_split,
     "write_roundtrip": write_roundtrip,
 }

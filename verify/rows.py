@@ -46,8 +46,8 @@ def _turn(role: str, content: Column, **extra: Column) -> Column:
     )
 
 
-def _pick(cases: list[Column]) -> Column:
-    kind = F.col("doc_id") % len(cases)
+def _pick(cases: list[Column], kind: Column | None = None) -> Column:
+    kind = F.col("doc_id") % len(cases) if kind is None else kind
     picked = F.when(kind == 0, cases[0])
     for i, case in enumerate(cases[1:], start=1):
         picked = picked.when(kind == i, case)
@@ -113,7 +113,7 @@ def sft_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preference_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id`` and ``value``: eight kinds of preference rows, good and bad."""
     text, lang = F.col("text"), F.col("lang")
-    answers = {"chosen": text, "rejected": F.substring("text", 1, 20)}
+    answers = {"chosen": text, "rejected": F.concat(text, F.lit(" Or not."))}
     cases = [
         _json(prompt=lang, **answers),
         _json(messages=F.array(_turn("user", lang)), **answers),
@@ -136,19 +136,35 @@ def preference_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_lines(spark: SparkSession, sf_dir: str, field: str = "text") -> DataFrame:
-    """``row_id`` and ``value``: ten kinds of corpus rows, half of them good texts."""
+    """``row_id`` and ``value``: every document as a good row, and one more row for each.
+
+    The further rows are of five kinds, none of which has a text worth the name; their
+    ids are negative.
+    """
     text, source = F.col("text"), F.col("source")
-    good = _json(**{field: text}, source=source)
     cases = [
         _json(**{field: F.lit("")}, source=source),
         _json(**{field: F.lit(" ")}, source=source),
         _json(source=source),
         _json(**{field: F.col("n_chars")}, source=source),
         _json(keep_nulls=True, **{field: F.lit(None).cast("string")}, source=source),
-        good, good, good, good, good,
     ]
     documents = table(spark, sf_dir, "documents")
-    return documents.select(F.col("doc_id").alias("row_id"), _pick(cases).alias("value"))
+    good = documents.select(F.col("doc_id").alias("row_id"), _json(**{field: text}, source=source).alias("value"))
+    others = documents.withColumn("doc_id", -1 - F.col("doc_id"))
+    picked = _pick(cases, kind=(-1 - F.col("doc_id")) % len(cases))
+    return good.union(others.select(F.col("doc_id").alias("row_id"), picked.alias("value")))
+
+
+def write_documents(lines: DataFrame) -> str:
+    """Write the lines as JSON documents: each file is one array of up to 1,000 of them."""
+    path = f"{shared_dir(lines.sparkSession)}/documents"
+    chunks = lines.groupBy(F.floor(F.col("row_id") / 1000).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n "), F.lit("]")).alias("value")
+    )
+    # one row of text for each file
+    chunks.write.partitionBy("file").text(path)
+    return path
 
 
 def write_lines(lines: DataFrame) -> str:
