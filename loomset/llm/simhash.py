@@ -10,7 +10,8 @@ chooses the thresholds from candidate counts that are estimated on all fingerpri
 Groups of copies do not make pairs: equal fingerprints are one node, and the nodes of
 a crowded bucket are linked through the values next to them instead (two values are
 at most two bits apart if, and only if, they share a value one bit from both or are
-one bit apart), which takes 65 rows for each node however large the bucket is.
+one bit apart), which takes one row for each bit that varies in the bucket, 65 at
+most for each node, however large the bucket is.
 """
 
 from __future__ import annotations
@@ -208,11 +209,17 @@ def links(nodes: DataFrame, max_bits: int = 2) -> DataFrame:
     near = pairs.filter(
         (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     ).select("a", "b")
-    # those that ask a crowded bucket and those in it, each once
-    busy = asked.join(crowd, ["i", "v"], "left_semi").select("fp").distinct()
-    around = busy.select(
-        "fp", F.explode(_flipped("fp", [0, *(1 << b for b in range(64))])).alias("near")
+    # those that ask a crowded bucket and those in it, each once; two of them can only
+    # differ in bits that vary in their bucket
+    crowded = asked.join(crowd, ["i", "v"], "left_semi")
+    vary = crowded.groupBy("i", "v").agg(F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("bits"))
+    busy = crowded.join(stored(vary), ["i", "v"]).groupBy("fp").agg(F.bit_or("bits").alias("bits"))
+    flips = F.filter(
+        F.array(*(F.lit(_signed(1 << b)).cast("bigint") for b in range(64))),
+        lambda f: f.bitwiseAND(F.col("bits")) != 0,
     )
+    values = F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f))
+    around = busy.select("fp", F.explode(F.concat(F.array("fp"), values)).alias("near"))
     heads = around.groupBy("near").agg(F.min("fp").alias("a"), F.max("fp").alias("z"))
     heads = heads.filter(F.col("a") < F.col("z")).select("near", "a")
     star = around.join(heads, "near").filter(F.col("fp") != F.col("a"))
