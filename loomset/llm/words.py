@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 
 from loomset.sources import shared_dir
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = b" "[0]
 #: Words of letters, digits and non-ASCII characters, A-Z lower-cased.
