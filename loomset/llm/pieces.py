@@ -15,7 +15,7 @@ they make of the two pieces together.  One path then has a finite weight, and th
 search takes the longest arc first, for it is mostly the right one.
 
 No piece reaches over the front of a space, so that the lattice falls into words.
-Words come again and again, and each worker keeps the paths of the last ones.
+Words come again and again, and each task keeps the paths of the last ones.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomset.llm.words import map_batches, map_slices, schema_with, without
+from loomset.llm.words import map_batches, schema_with, slices, without
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-#: Words whose paths a worker keeps; beyond that it starts anew.
-REMEMBERED = 700_000
+#: Words whose paths a task keeps (about 250 bytes each); beyond that it starts anew.
+REMEMBERED = 350_000
 #: How far below the worst piece an unknown character scores in a unigram model.
 UNKNOWN_PENALTY = 10.0
 
@@ -124,6 +124,13 @@ class Machine:
             raise ValueError(f"model kind {kind} is not supported")
         return cls(pieces, kind, prefix, squeeze)
 
+    def forget(self) -> None:
+        """Give back the memory of the words seen so far; pairs of pieces are few."""
+        self.spaced.clear()
+        self.bare.clear()
+        if len(self._pairs) > REMEMBERED:
+            self._pairs.clear()
+
     def normal(self, text: str) -> str:
         if self.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
@@ -200,6 +207,27 @@ class Machine:
         return out
 
     def _merged_path(self, s: str) -> list[int]:
+        """The path of finite weight: straight on where that works, else by search."""
+        n, pairs, out, at, last = len(s), self._pairs, [], 0, -1
+        while True:
+            for end, i in self._arcs(s, at):
+                if last < 0:
+                    fits = end < n or self._stands(i)
+                else:
+                    both = last << 20 | i
+                    fits = pairs.get(both)
+                    if fits is None:
+                        fits = pairs[both] = self._fits(last, i)
+                if fits:
+                    break
+            else:
+                return self._searched_path(s)
+            out.append(i)
+            if end == n:
+                return out
+            at, last = end, i
+
+    def _searched_path(self, s: str) -> list[int]:
         n = len(s)
         path: list[tuple[int, int]] = []
         ways, dead = [iter(self._arcs(s, 0))], set()
@@ -344,8 +372,7 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     names = base.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        machine = _compiled(shared.value)
+    def make(machine: Machine, batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = batch.column("text").to_pylist()
         packed = [machine.encode(x) for x in rows]
         back = [None if x is None else machine.decode(p) == machine.plain(x) for x, p in zip(rows, packed)]
@@ -359,8 +386,16 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
         columns |= {"n_pieces": pa.array(sizes), "ids": ids, "round_trip": pa.array(back, pa.bool_())}
         return pa.record_batch(columns)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _compiled(shared.value)
+        try:
+            for batch in slices(batches):
+                yield make(machine, batch)
+        finally:  # the worker goes on to other tasks
+            machine.forget()
+
     new = "n_pieces bigint, ids array<int>, round_trip boolean"
-    return map_slices(base, make, schema_with(base, new))
+    return map_batches(base, run, schema_with(base, new))
 
 
 def decode(coded: DataFrame, model: bytes) -> DataFrame:
