@@ -140,9 +140,106 @@ select page_id, cast(n as bigint) as payload_bytes, sha1(html) as payload_digest
 from of
 """
 
+_OP11 = """
+with wide as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+met as (
+    select a.vec_id as a, b.vec_id as b, a.label = b.label as same,
+        cast(list_dot_product(a.v, b.v) as bigint) as s
+    from wide a join wide b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where a.vec_id % 100 = 0),
+near as (
+    select a, b as p, s as ps from met where same
+    qualify row_number() over (partition by a order by s desc, b) <= 5)
+select a as anchor_id, p as positive_id,
+    cast(row_number() over (partition by a, p order by s desc, b) as integer) as rank,
+    b as negative_id, ps as positive_score, s as negative_score
+from near join met using (a)
+where not same and 30 * ps <= 100 * s and 100 * s <= 90 * ps
+qualify row_number() over (partition by a, p order by s desc, b) <= 10
+"""
+
+_OP12 = """
+with doc as (
+    select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') as u,
+        sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h
+    from documents),
+num as (
+    select *, len(u) as n,
+        list_transform([1, 9, 17, 25], lambda i: cast('0x' || substr(h, i, 8) as bigint)) as x
+    from doc),
+cut as (
+    select *, least(x[1] % (n + 1), x[2] % (n + 1)) as a, greatest(x[1] % (n + 1), x[2] % (n + 1)) as b,
+        case when t = '' or regexp_matches(t, '<[PSM]>') or x[3] % 100 >= 100 then 'plain'
+            when x[4] % 100 < 50 then 'spm' else 'psm' end as form
+    from num),
+part as (
+    select *, array_to_string(u[1 : a], '') as p, array_to_string(u[a + 1 : b], '') as m,
+        array_to_string(u[b + 1 :], '') as s
+    from cut)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+    case when form <> 'plain' then length(m) end as middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(t) as restored_sha256
+from part
+"""
+
+_ASSIGN = """((?i:password|passwd|secret|token|api_?key))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_KINDS = (
+    (0, "assign", _ASSIGN, 2),
+    (1, "access", "AKIA[A-Z0-9]{16,}", 0),
+    (2, "hex", "[0-9a-f]{24,}", 0),
+    (3, "live", "[A-Za-z0-9+/_=-]{20,}", 0),
+)
+_MATCHES = " union all ".join(
+    f"select r, {rank} as rank, '{kind}' as kind, unnest(regexp_extract_all(t, '{p}')) as m, "
+    f"unnest(regexp_extract_all(t, '{p}', {group})) as v, unnest(string_split_regex(t, '{p}')[:-2]) as gap, "
+    f"unnest(range(len(regexp_extract_all(t, '{p}')))) as k from doc where regexp_matches(t, '{p}')"
+    for rank, kind, p, group in _KINDS
+)
+_OP13 = f"""
+with doc as (
+    select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
+found as ({_MATCHES}),
+owners as (
+    select v, count(distinct coalesce(source, chr(0))) as n from found join doc using (r) group by v),
+placed as (
+    select *, z - length(m) as a, len(list_distinct(string_split(v, ''))) >= 10
+        and regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]') as looks
+    from (select *, sum(length(gap) + length(m)) over (partition by r, kind order by k) as z from found)),
+base as (select * from placed where kind <> 'live' and (kind <> 'assign' or length(v) >= 6)),
+own as (
+    select * from placed x where kind = 'live' and looks and not exists (
+        select 1 from base b where b.r = x.r and b.a < x.z and x.a < b.z)),
+spans as (
+    select r, kind, rank, a, kind || ':' || cast(a as bigint) || ':' || cast(z as bigint) as s, looks, n
+    from (select * from base union all select * from own) join owners using (v)
+    where kind <> 'live' or n <= 2),
+told as (
+    select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+        count(*) filter (kind = 'hex') as n_hex,
+        string_agg(s, ',' order by a, rank) filter (kind <> 'live') as base,
+        string_agg(s, ',' order by a, rank) as spans,
+        count(*) filter (kind <> 'live' and n > 2) as n_examples,
+        count(*) filter (kind <> 'live' and n <= 2 and looks) as n_live
+    from spans group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+    coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+    coalesce(spans, '') as spans, coalesce(n_examples, 0) as n_examples, coalesce(n_live, 0) as n_live
+from doc left join told using (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": _OP1,
     "op4_substring_dedup": _OP4,
     "op5_quality_rules": _OP5,
     "op9_warc": _OP9,
+    "op11_hard_negatives": _OP11,
+    "op12_fill_in_middle": _OP12,
+    "op13_secret_scan": _OP13,
 }

@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.llm import decontaminate, language, licenses, pieces, pii, quality, quality_rules
-from loomset.llm import repeats, simhash, warc
+from loomset.llm import credentials, decontaminate, language, licenses, middle, negatives
+from loomset.llm import pieces, pii, quality, quality_rules, repeats, simhash, warc
 from loomset.llm.folds import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,43 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth vector against all; some labels are moved on by one."""
+    moved = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    return negatives.hard_negatives(rows, F.expr("vec_id % 100 = 0"), moved)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = middle.fill_in_middle(docs, seed=7, percent=100, percent_spm=50)
+    return done.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document counts as a repository, and its source as the owner."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.col("doc_id").alias("repository"), F.col("source").alias("owner")
+    )
+    found = credentials.scan(docs)
+    counts = [
+        F.expr(f"size(filter(base, x -> x.kind = '{k}'))").cast("bigint").alias(f"n_{k}")
+        for k in credentials.BASE
+    ]
+    base, spans = credentials.written("base"), credentials.written(credentials.merged())
+    return found.select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), "n_examples", "n_live"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -117,4 +154,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_secret_scan": op13_secret_scan,
 }
