@@ -28,14 +28,17 @@ from loomset.functions.pytext import (
     typed_text,
     variant_text,
 )
+from loomset.functions.tokens import BLANKS, Tokenizer, python_tokenizer, split_tokens, token_slice
 
 __all__ = [
+    "BLANKS",
     "JSON_PARSER",
     "MAX_DEPTH",
     "MESSAGES_TYPE",
     "PYTHON_WHITESPACE",
     "ROLES",
     "Renderer",
+    "Tokenizer",
     "bind",
     "evaluate_once",
     "may_not_be_string",
@@ -44,9 +47,12 @@ __all__ = [
     "parse_json",
     "prepend_system_prompt",
     "py_strip",
+    "python_tokenizer",
     "render_chatml",
     "render_template",
+    "split_tokens",
     "template_renderer",
+    "token_slice",
     "truthy_typed_text",
     "truthy_variant_text",
     "typed_text",

@@ -242,3 +242,62 @@ ORACLES["profile_keys_preview"] = """
         else 'completion,doc_id,prompt' end as keys, count(*) as n_rows, true as shown
     from (select doc_id % 20 as k from documents)
     where k in (0, 1, 2, 3, 4, 5, 9, 17, 18, 19) group by 1"""
+
+# Layout of training input.  A text's tokens are the pieces between its blanks.
+
+_COUNTED = "counted as (select *, len(string_split(text, ' ')) as n from documents where text <> '')"
+
+
+def packed(length: int, separators: int = 1) -> str:
+    """Pieces of sequences as ``piece``: where rows begin in the stream, cut every ``length``."""
+    return f"""
+        {_COUNTED},
+        placed as (select *, n + {separators} as m, (sum(n + {separators}) over (order by doc_id))::bigint as en from counted),
+        piece as (
+          select unnest(generate_series((en - m) // {length}, (en - 1) // {length})) as seq_id, doc_id, text, en - m as st, en
+          from placed where m > 0),
+        span as (
+          select seq_id, doc_id, text, st, en, greatest(st, seq_id * {length}) - st as tok_from,
+            least(en, (seq_id + 1) * {length}) - st as tok_to from piece)"""
+
+
+ORACLES |= {
+    "token_counts": """
+        select doc_id, n::int as n_tokens, n::int as n_called, case when n > 0 then length(text) - n + 1 else 0 end as id_sum
+        from (select doc_id, text, case when text <> '' then len(string_split(text, ' ')) else 0 end as n from documents)""",
+    "truncate_to_length": f"""
+        with {_COUNTED}
+        select doc_id, n::int as n_tokens, n > 64 as was_truncated,
+          array_to_string(string_split(text, ' ')[:64], ' ') as text from counted""",
+    "cap_preference_lengths": f"""
+        with {_COUNTED}, kept as (select *, least(n, 100) as k from counted)
+        select doc_id, n - k as prompt_from, n as prompt_to, least(n // 2, 160 - k) as chosen_to,
+          least(1, 160 - k)::bigint as rejected_to, n > k or n // 2 > 160 - k as was_capped from kept""",
+    "pack_sequences": f"with {packed(512)} select seq_id, doc_id, tok_from, tok_to from span",
+    "pack_sequences_whole": f"""
+        with {packed(32, 0)}
+        select seq_id, doc_id, tok_from, tok_to, st + tok_from - seq_id * 32 as seq_from from span
+        where seq_id < (select max(en) // 32 from placed)""",
+    "packed_tokens": f"""
+        with {packed(512)},
+        token as (
+          select doc_id, st, unnest(list_append(string_split(text, ' '), '<end>')) as t,
+            unnest(range(len(string_split(text, ' ')) + 1)) as i
+          from (select doc_id, text, en - m as st from placed))
+        select (st + i) // 512 as seq_id, count(*) as n, md5(string_agg(t, ' ' order by st + i)) as digest
+        from token group by 1""",
+    "length_grouped_batches": f"""
+        with {_COUNTED},
+        ranked as (
+          select doc_id, n, (row_number() over (order by md5('42:' || doc_id::varchar), doc_id) - 1) // 400 as mega from counted)
+        select doc_id, mega * 50 + (row_number() over (partition by mega order by n desc, doc_id) - 1) // 8 as batch_id
+        from ranked""",
+    "session_slices": f"""
+        with {packed(256)}
+        select seq_id // 400 as session_id, seq_id // 4 as step, seq_id, doc_id, tok_from, tok_to from span""",
+    "calibration_sample": """
+        select doc_id, text from documents order by md5('42:' || doc_id::varchar), md5('42:' || text) limit 64""",
+    "calibration_sample_by": """
+        select lang, doc_id from documents qualify row_number() over (
+          partition by lang order by md5('42:' || text), md5('42:' || doc_id::varchar)) <= 20""",
+}

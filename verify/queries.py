@@ -12,6 +12,8 @@ from loomset import (
     ReadOptions,
     SplitRoutes,
     accepted,
+    calibration_sample,
+    cap_preference_lengths,
     corpus_text,
     dataset_ready_count,
     discover_corpus,
@@ -20,23 +22,33 @@ from loomset import (
     fail_on_error,
     format_examples,
     holdout_split,
+    length_grouped_batches,
     load_dpo_dataset,
     load_sft_dataset,
     load_text_corpus,
+    pack_sequences,
+    packed_tokens,
     prepend_system_prompt,
     profile_keys,
+    python_tokenizer,
     quarantined,
+    read_session,
     render_chatml,
     route_table,
     run_prep_job,
     scan_json,
     scan_jsonl,
+    session_slices,
     template_renderer,
     to_chat_messages,
     to_preference_examples,
+    token_counts,
+    truncate_to_length,
+    truncated_text,
+    write_sessions,
 )
-from loomset.functions import py_strip, valid_role as is_valid_role
-from loomset.sources import shared_dir, write_jsonl_pair
+from loomset.functions import py_strip, split_tokens, valid_role as is_valid_role
+from loomset.sources import shared_dir, stage, write_jsonl_pair
 from verify.rows import (
     SYSTEM_PROMPT,
     conversations,
@@ -434,6 +446,92 @@ def write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(load_text_corpus(spark, paths.train, eval_path=paths.eval))
 
 
+# Layout of training input
+
+def word_lengths(texts: list[str]) -> list[list[int]]:
+    """A tokenizer as a caller would bring it: the id of a token is its length."""
+    return [[len(word) for word in text.split(" ")] for text in texts]
+
+
+def counted(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents with a text and their token counts, computed once."""
+    documents = drop_empty_text(table(spark, sf_dir, "documents"))
+    return stage(token_counts(documents).select("doc_id", "n_tokens", *columns))
+
+
+def tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document by the default tokenizer and by a Python function."""
+    called = python_tokenizer(word_lengths)
+    documents = table(spark, sf_dir, "documents")
+    rows = token_counts(token_counts(documents), called, into="n_called")
+    ids = called.tokens(F.col("text"))
+    return rows.select("doc_id", "n_tokens", "n_called", F.aggregate(ids, F.lit(0), lambda s, x: s + x).cast("bigint").alias("id_sum"))
+
+
+def truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = truncate_to_length(token_counts(drop_empty_text(table(spark, sf_dir, "documents"))), 64)
+    text = truncated_text(F.col("text"), F.col("kept_tokens"))
+    return rows.select("doc_id", "n_tokens", "was_truncated", text.alias("text"))
+
+
+def preference_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document is a prompt, whose answers are half of it, and its language."""
+    rows = counted(spark, sf_dir).select(
+        "doc_id",
+        F.col("n_tokens").alias("n_prompt"),
+        F.floor(F.col("n_tokens") / 2).alias("n_chosen"),
+        F.lit(1).alias("n_rejected"),
+    )
+    capped = cap_preference_lengths(rows, max_length=160, max_prompt_length=100)
+    spans = [F.col(c).cast("bigint").alias(c) for c in ("prompt_from", "prompt_to", "chosen_to", "rejected_to")]
+    return capped.select("doc_id", *spans, "was_capped")
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(counted(spark, sf_dir), 512, row_id="doc_id").drop("seq_from")
+
+
+def packing_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences without separators, short enough that most documents fill several."""
+    return pack_sequences(counted(spark, sf_dir), 32, row_id="doc_id", separators=0, keep_last=False)
+
+
+def packed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequences themselves: their tokens joined by blanks."""
+    rows = counted(spark, sf_dir, "text")
+    spans = pack_sequences(rows.select("doc_id", "n_tokens"), 512, row_id="doc_id")
+    tokens = rows.select("doc_id", split_tokens(F.col("text")).alias("tokens"))
+    packed = packed_tokens(spans, tokens, F.lit("<end>"), row_id="doc_id")
+    return packed.select("seq_id", F.size("tokens").cast("bigint").alias("n"), F.md5(F.array_join("tokens", " ").cast("binary")).alias("digest"))
+
+
+def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_grouped_batches(counted(spark, sf_dir), 8, row_id="doc_id")
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions of a long pass, written, and read one by one by their directories."""
+    packed = pack_sequences(counted(spark, sf_dir), 256, row_id="doc_id")
+    path = shared_dir(spark)
+    write_sessions(session_slices(packed, effective_batch=4, max_steps=100), path)
+    last = spark.read.parquet(path).agg(F.max("session_id")).first()[0]
+    rows = read_session(spark, path, 0)
+    for i in range(1, last + 1):
+        rows = rows.union(read_session(spark, path, i))
+    return rows.select(F.col("session_id").cast("bigint"), "step", "seq_id", "doc_id", "tok_from", "tok_to")
+
+
+def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return calibration_sample(documents, 64, row_key="doc_id").select("doc_id", "text")
+
+
+def calibration_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of copies, which the text alone can't tell apart, the id decides."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return calibration_sample(documents, 20, row_key="text", content="doc_id", by=("lang",)).select("lang", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "scan_jsonl": scan_lines,
     "scan_json": scan_documents,
@@ -481,4 +579,14 @@ QUERIES: dict[str, Query] = {
     "fail_on_error": all_good,
     "text_field_called_split": field_called_split,
     "write_roundtrip": write_roundtrip,
+    "token_counts": tokenizers,
+    "truncate_to_length": truncation,
+    "cap_preference_lengths": preference_lengths,
+    "pack_sequences": packing,
+    "pack_sequences_whole": packing_whole,
+    "packed_tokens": packed_text,
+    "length_grouped_batches": batches,
+    "session_slices": sessions,
+    "calibration_sample": calibration,
+    "calibration_sample_by": calibration_by_group,
 }
