@@ -111,10 +111,10 @@ def to_preference_examples(
         fields.text("rejected").alias(RESERVED + "rejected"),
     )
     found = F.col(RESERVED + "outcome")
-    # A row that is no object has no answers either, but that is not its error.
+    # A row that is no object, or was not read, has no answers either, but that is not its error.
     unanswered = ~F.col(RESERVED + "answered") & (
         F.coalesce(found["error"]["code"], F.lit("")).isin(
-            codes.BAD_JSON, codes.NOT_A_MAPPING
+            codes.BAD_JSON, codes.NOT_A_MAPPING, codes.ROW_TOO_LARGE
         )
         == F.lit(False)
     )

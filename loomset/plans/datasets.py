@@ -23,7 +23,7 @@ from loomset.operators.split import (
     split_key,
 )
 from loomset.operators.rows import RESERVED, parsed_rows, path_of
-from loomset.sources import remove, scan_json, scan_jsonl, shared_dir, stage
+from loomset.sources import remove, scan_json_texts, scan_jsonl, shared_dir, stage
 
 logger = logging.getLogger(__name__)
 
@@ -258,13 +258,9 @@ def _transformed(
     seed: int | None = None,
 ) -> DataFrame:
     """Transformed rows; with ``seed``, good ones have the key of their split."""
-    rows = (scan_json if options.json_documents else scan_jsonl)(spark, path)
+    rows = (scan_json_texts if options.json_documents else scan_jsonl)(spark, path)
     # A line is parsed here, once, and the row operators get a VARIANT.
-    if options.json_documents:
-        line = F.coalesce("line", F.to_json("value"))
-        rows = rows.select("source_file", "row_id", line.alias(_LINE), F.col("value").alias(_RAW))
-    else:
-        rows = parsed_rows(rows.select("source_file", "row_id", F.col("value").alias(_LINE)), _LINE, _RAW, _REFUSED)
+    rows = parsed_rows(rows.select("source_file", "row_id", F.col("value").alias(_LINE)), _LINE, _RAW, _REFUSED)
     if seed is not None:
         key, content = F.col(_LINE), None
         if options.key_field:
@@ -274,9 +270,8 @@ def _transformed(
         hashed = split_key(key, seed, tie_break=F.col("row_id"), content=content)
         rows = rows.withColumn(_KEY, hashed)
     rows = recipe.transform(rows)
-    if not options.json_documents:
-        refused = F.struct(F.col(_REFUSED).alias("code"), F.lit(None).cast("int").alias("index"))
-        rows = rows.withColumn("error", F.when(F.col(_REFUSED).isNotNull(), refused).otherwise(F.col("error")))
+    refused = F.struct(F.col(_REFUSED).alias("code"), F.lit(None).cast("int").alias("index"))
+    rows = rows.withColumn("error", F.when(F.col(_REFUSED).isNotNull(), refused).otherwise(F.col("error")))
     if options.on_error == "fail":
         rows = fail_on_error(rows)
     code = F.col("error.code")

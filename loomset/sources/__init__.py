@@ -6,6 +6,7 @@ from loomset.sources.files import (
     discover_corpus,
     route_table,
     scan_json,
+    scan_json_texts,
     scan_jsonl,
 )
 from loomset.sources.sinks import (
@@ -26,6 +27,7 @@ __all__ = [
     "remove",
     "route_table",
     "scan_json",
+    "scan_json_texts",
     "scan_jsonl",
     "shared_dir",
     "stage",

@@ -7,11 +7,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomset.functions import JSON_PARSER, one_value, parse_json
+from loomset.functions import one_value
+from loomset.sources.arrays import json_texts
 
 
 def scan_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -34,48 +35,30 @@ def scan_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def scan_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_json_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Like :func:`scan_jsonl` for files that each hold one JSON array or object.
 
-    ``value`` is a VARIANT, an element of the array or the object.  A file that holds
-    something else is read as lines, each with its text in ``line``: nothing of it is
-    lost, and what is no JSON has a NULL ``value``.  A file is read by one task and has
-    to fit into one cell (2 GB), so large data should come as JSON Lines; an array may
-    be larger than a VARIANT (128 MiB), but not one of its elements.
+    ``value`` is the text of an element of the array, of the object, or of a line where a
+    file holds something else.  An array may be of any size: it is read by as many tasks
+    as lines would be, and an element that is no JSON, or too large to be read, is a row
+    like any other.  An element has to fit into one cell (2 GB).
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source_file"), F.btrim("value", F.lit(" \t\r\n\ufeff")).alias("text")
-    )
-    size = F.octet_length("text").cast("string")
-    array = F.from_json(
-        F.concat(F.lit("["), "text", F.lit(",["), size, F.lit("]]")),
-        "array<array<variant>>",
-        JSON_PARSER,
-    )
-    read = files.where("text <> ''").select("*", array.alias("array"), parse_json(F.col("text")).alias("one"))
-    length = F.octet_length("text").cast("bigint")
-    end = F.try_variant_get(F.get(F.get("array", F.lit(1)), F.lit(0)), "$", "bigint")
-    is_array = (F.size("array") == 2) & (F.size(F.get("array", F.lit(1))) == 1) & (end == length)
-    is_one = (F.try_variant_get("one", "$[1]", "bigint") == length) & F.try_variant_get(
-        "one", "$[2]", "variant"
-    ).isNull()
-    no_text, lines = F.lit(None).cast("string"), F.split("text", "\n")
-    lines = F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\r")) != "")
-
-    def row(value: Column, line: Column) -> Column:
-        return F.struct(value.alias("value"), line.alias("line"))
-
-    rows = (
-        F.when(F.coalesce(is_array, F.lit(False)), F.transform(F.get("array", F.lit(0)), lambda x: row(x, no_text)))
-        .when(F.coalesce(is_one, F.lit(False)), F.array(row(F.try_variant_get("one", "$[0]", "variant"), no_text)))
-        .otherwise(F.transform(lines, lambda x: row(one_value(x), x)))
-    )
-    return (
-        read.select("source_file", F.explode(rows).alias("row"))
-        .select(F.monotonically_increasing_id().alias("row_id"), "source_file", "row.value", "row.line")
+    return json_texts(spark, path).select(
+        F.monotonically_increasing_id().alias("row_id"), F.col("file").alias("source_file"), "value"
     )
 
 
+def scan_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """:func:`scan_json_texts` with ``value`` as VARIANT.
+
+    Where a text can't be one, since it is no JSON, deeper than 2,000 levels or larger
+    than a VARIANT (128 MiB), ``value`` is NULL and ``line`` has the text.
+    """
+    rows = scan_json_texts(spark, path).withColumnRenamed("value", "line")
+    read = rows.select("row_id", "source_file", F.inline(F.array(F.struct(one_value(F.col("line")).alias("value"), "line"))))
+    return read.withColumn("line", F.when(F.col("value").isNull(), F.col("line")))
+
+
 def discover_corpus(spark: SparkSession, root: str, name: str) -> str:
     """Path of the file called ``name`` anywhere below ``root``.
 

@@ -301,3 +301,7 @@ ORACLES |= {
         select lang, doc_id from documents qualify row_number() over (
           partition by lang order by md5('42:' || text), md5('42:' || doc_id::varchar)) <= 20""",
 }
+
+ORACLES["json_document_errors"] = """
+    select doc_id, case doc_id % 100 when 7 then 'ROW_TOO_LARGE' when 9 then 'BAD_JSON' else '' end as error_code
+    from documents"""

@@ -129,6 +129,22 @@ def json_document_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(load_text_corpus(spark, path, val_split=0.05, options=options))
 
 
+def json_document_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays in which some elements are too deep, and some no JSON: only these are refused."""
+    doc = F.col("doc_id")
+    number = F.format_string("%012d", doc)
+    head = F.concat(F.lit('{"text":"'), number, F.lit('","x":'))
+    value = (
+        F.when(doc % 100 == 7, F.concat(head, F.lit("[" * 2500 + "]" * 2500 + "}")))
+        .when(doc % 100 == 9, F.concat(head, F.lit("[1,]}")))
+        .otherwise(F.concat(head, F.to_json(F.array("text")), F.lit("}")))
+    )
+    lines = table(spark, sf_dir, "documents").select(doc.alias("row_id"), value.alias("value"))
+    data = load_text_corpus(spark, write_documents(lines), options=ReadOptions(json_documents=True))
+    refused = data.quarantine.select(F.substring("value", 10, 12).cast("bigint").alias("doc_id"), "error_code")
+    return data.train.select(F.col("text").cast("bigint").alias("doc_id"), F.lit("").alias("error_code")).union(refused)
+
+
 def eval_file_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark").select(
         F.to_json(
@@ -536,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "scan_jsonl": scan_lines,
     "scan_json": scan_documents,
     "json_document_corpus": json_document_corpus,
+    "json_document_errors": json_document_errors,
     "eval_file_precedence": eval_file_precedence,
     "discover_corpus": find_corpus,
     "route_split": route_split,
