@@ -58,10 +58,11 @@ from doc left join cut using (doc_id) left join kept using (doc_id)
 
 _G = "(1.01 / 0.99)"
 _FENCES = ", ".join(
-    f"max(case when share = '{s}' then q0 - 3 * greatest(q1 - q0, {d}) end) as low_{s}, "
-    f"max(case when share = '{s}' then q1 + 3 * greatest(q1 - q0, {d}) end) as high_{s}"
-    for s, d in (("symbols", 0.02), ("lines", 0.15), ("repeats", 0.1), ("length", 0.5))
+    f"max(case when share = '{s}' then q1 - 3 * (q1 - q0) end) as low_{s}, "
+    f"max(case when share = '{s}' then q1 + 3 * (q2 - q1) end) as high_{s}"
+    for s in ("symbols", "lines", "repeats", "length")
 )
+_DRAWN = ", ".join(f"(x.total * x.q{i} + 20 * y.q{i}) / (x.total + 20) as q{i}" for i in range(3))
 _OP5 = f"""
 with doc as (
     select row_number() over () as r, *, coalesce({_SPACED.format("text")}, []) as w,
@@ -94,36 +95,32 @@ counts as (
     select 2 as level, lang, source, share, b, count(*) as n from bins group by all
     union all select 1, lang, null, share, b, count(*) from bins group by all
     union all select 0, null, null, share, b, count(*) from bins group by all),
-cum as (
+cum as materialized (
     select *, sum(n) over (partition by level, lang, source, share order by b) as upto,
         sum(n) over (partition by level, lang, source, share) as total,
         case when b = -2147483648 then 0 else pow({_G}, b) * (1 + {_G}) / 2 end as v
     from counts),
-quart as (
+quart as materialized (
     select level, lang, source, share, max(total) as total,
-        min(case when upto >= total * 0.25 then v end) as q0,
-        min(case when upto >= total * 0.75 then v end) as q1
+        min(case when upto >= total * 0.1 then v end) as q0,
+        min(case when upto >= total * 0.5 then v end) as q1,
+        min(case when upto >= total * 0.9 then v end) as q2
     from cum group by all),
-fence as (
-    select level, lang, source, max(total) as total, {_FENCES} from quart group by all),
-pick as (
-    select o.lang, o.source,
-        case when o.total >= 100 then 2 when l.total >= 100 then 1 else 0 end as level
-    from fence o join fence l on l.level = 1 and o.lang is not distinct from l.lang
-    where o.level = 2),
-rule as (
-    select pick.lang, pick.source, fence.* exclude (level, lang, source, total)
-    from pick join fence on pick.level = fence.level
-        and (pick.level < 1 or pick.lang is not distinct from fence.lang)
-        and (pick.level < 2 or pick.source is not distinct from fence.source))
+langs as materialized (
+    select x.lang, share, {_DRAWN} from quart x join quart y using (share)
+    where x.level = 1 and y.level = 0),
+groups as (
+    select x.lang, x.source, share, {_DRAWN} from quart x join langs y using (share)
+    where x.level = 2 and x.lang is not distinct from y.lang),
+rule as (select lang, source, {_FENCES} from groups group by all)
 select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
     cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
     cast(n_repeat_words as bigint) as n_repeat_words,
     n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
     n_words >= 20 and 100 * n_repeat_words <= 30 * n_words and coalesce(
-        n_symbols / n_words between low_symbols and high_symbols
-        and n_dup_lines / n_lines between low_lines and high_lines
-        and n_repeat_words / n_words between low_repeats and high_repeats
+        not (n_symbols / n_words > high_symbols and n_symbols > 1)
+        and not (n_dup_lines / n_lines > high_lines and n_dup_lines > 1)
+        and not (n_repeat_words / n_words > high_repeats and n_repeat_words > 16)
         and word_chars / n_words between low_length and high_length, false) as kept
 from base left join rule
     on base.lang is not distinct from rule.lang and base.source is not distinct from rule.source

@@ -2,13 +2,18 @@
 
 Four shares of every text are measured: symbols for each word, repeated lines,
 repeated words, and the length of words.  For each language and source, a quantile
-sketch tells their quartiles, and a text fails if a share lies further outside them
-than FENCE times their distance.
+sketch tells the median of a share and its tail quantiles, and a text fails if its share
+lies further from the median than FENCE times the distance of the tail quantile.  The
+first three shares measure faults, so that only high ones fail; words can be too short as
+well.  Where most texts lack a fault, its quantiles are zero, and any share is too high:
+then it still takes more than a single occurrence (see SHARES) for a text to fail.
 
 A sketch counts logarithmic bins, so that a quantile is right to RELATIVE.  Sketches
 merge by adding counts: tasks count their own rows first, and the sketches of a
-language, and of everything, are sums of those of the sources.  They serve groups of
-fewer than LEAST_ROWS texts, which have no quartiles worth the name.
+language, and of everything, are sums of those of the sources.  The quantiles of a group
+of n texts are drawn towards those of its language as if that had SHRINK more texts in
+the group, and those of a language towards those of everything, so that a small group
+has no thresholds of its own and none changes abruptly as it grows.
 """
 
 from __future__ import annotations
@@ -25,16 +30,20 @@ from loomset.llm.words import SPACED, Words, map_slices, normal, stored, texts
 #: A quantile differs from the true one by up to this share.
 RELATIVE = 0.01
 FENCE = 3.0
-LEAST_ROWS = 100
+#: Lower tail, median and upper tail.
+PARTS = (0.1, 0.5, 0.9)
+#: Texts that a larger group lends to the quantiles of a smaller one.
+SHRINK = 20
 #: Words of a window whose repetition counts.
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
-#: Each share, and the distance between quartiles that is assumed at least.
+#: Each share, what has to hold besides for a high one to fail, and whether a low one can:
+#: one symbol, one repeated line or one window that comes twice is no pattern.
 SHARES = {
-    "symbols": ("n_symbols / n_words", 0.02),
-    "lines": ("n_dup_lines / n_lines", 0.15),
-    "repeats": ("n_repeat_words / n_words", 0.1),
-    "length": ("word_chars / n_words", 0.5),
+    "symbols": ("n_symbols / n_words", "n_symbols > 1", False),
+    "lines": ("n_dup_lines / n_lines", "n_dup_lines > 1", False),
+    "repeats": ("n_repeat_words / n_words", "n_repeat_words > 16", False),
+    "length": ("word_chars / n_words", "true", True),
 }
 _GAMMA = (1 + RELATIVE) / (1 - RELATIVE)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -93,7 +102,7 @@ def sketches(measured: DataFrame) -> DataFrame:
     shares = F.array(
         *(
             F.struct(F.lit(name).alias("share"), _bin(F.expr(rule)).alias("bin"))
-            for name, (rule, _) in SHARES.items()
+            for name, (rule, _, _) in SHARES.items()
         )
     )
     flat = measured.filter("n_words > 0").select("lang", "source", F.explode(shares).alias("s"))
@@ -116,33 +125,31 @@ def quantiles(counts: DataFrame, keys: list[str], parts: tuple[float, ...]) -> D
     return table.groupBy(*keys, "share").agg(F.max("rows").alias("rows"), *picked)
 
 
+def _drawn(rows: DataFrame, towards: DataFrame, keys: list[str]) -> DataFrame:
+    """Quantiles of ``rows``, drawn to those of ``towards``, which ``keys`` lead to."""
+    names = [f"q_{i}" for i in range(len(PARTS))]
+    wider = towards.select("share", *keys, *(F.col(q).alias(f"to_{q}") for q in names))
+    wider = wider.withColumnsRenamed({c: f"to_{c}" for c in ("share", *keys)})
+    same = F.col("share") == F.col("to_share")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"to_{k}"))
+    drawn = [((F.col("rows") * F.col(q) + SHRINK * F.col(f"to_{q}")) / (F.col("rows") + SHRINK)).alias(q) for q in names]
+    kept = [c for c in ("lang", "source") if c in rows.columns]
+    return rows.join(wider, same).select(*kept, "share", *drawn)
+
+
 def thresholds(counts: DataFrame) -> DataFrame:
     """One row for each lang and source, with low_<share> and high_<share>."""
-    levels = []
-    for level, keys in enumerate(([], ["lang"], ["lang", "source"])):
-        found = quantiles(merged(counts, keys), keys, (0.25, 0.75))
-        text = [F.col(k) if k in keys else F.lit(None).cast("string").alias(k) for k in ("lang", "source")]
-        levels.append(found.select(F.lit(level).alias("level"), *text, "share", "rows", "q_0", "q_1"))
-    table = levels[0].union(levels[1]).union(levels[2])
+    every = quantiles(merged(counts, []), [], PARTS)
+    langs = _drawn(quantiles(merged(counts, ["lang"]), ["lang"], PARTS), every, [])
+    table = _drawn(quantiles(counts, ["lang", "source"], PARTS), langs, ["lang"])
     fences = []
-    for name, (_, least) in SHARES.items():
-        wide = FENCE * F.greatest(F.col("q_1") - F.col("q_0"), F.lit(least))
+    for name in SHARES:
         here = F.col("share") == name
-        fences.append(F.max(F.when(here, F.col("q_0") - wide)).alias(f"low_{name}"))
-        fences.append(F.max(F.when(here, F.col("q_1") + wide)).alias(f"high_{name}"))
-    table = stored(table.groupBy("level", "lang", "source").agg(F.max("rows").alias("rows"), *fences))
-    own = table.filter("level = 2").select("lang", "source", F.col("rows").alias("own"))
-    of_lang = table.filter("level = 1").select(F.col("lang").alias("_l"), F.col("rows").alias("theirs"))
-    groups = own.join(of_lang, F.col("lang").eqNullSafe(F.col("_l")))
-    level = F.when(F.col("own") >= LEAST_ROWS, 2).when(F.col("theirs") >= LEAST_ROWS, 1).otherwise(0)
-    groups = groups.select("lang", "source", level.alias("use"))
-    table = table.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    same = (
-        (F.col("use") == F.col("level"))
-        & F.when(F.col("use") >= 1, F.col("lang")).eqNullSafe(F.col("_lang"))
-        & F.when(F.col("use") == 2, F.col("source")).eqNullSafe(F.col("_source"))
-    )
-    return groups.join(table, same).drop("use", "level", "_lang", "_source", "rows")
+        low = F.col("q_1") - FENCE * (F.col("q_1") - F.col("q_0"))
+        high = F.col("q_1") + FENCE * (F.col("q_2") - F.col("q_1"))
+        fences += [F.max(F.when(here, low)).alias(f"low_{name}"), F.max(F.when(here, high)).alias(f"high_{name}")]
+    return table.groupBy("lang", "source").agg(*fences)
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -160,8 +167,10 @@ def judge(docs: DataFrame) -> DataFrame:
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     base_failed = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
     inside = F.lit(True)
-    for name, (rule, _) in SHARES.items():
-        inside = inside & F.expr(f"{rule} between low_{name} and high_{name}")
+    for name, (rule, pattern, two_sided) in SHARES.items():
+        inside = inside & ~F.expr(f"{rule} > high_{name} and {pattern}")
+        if two_sided:
+            inside = inside & F.expr(f"{rule} >= low_{name}")
     # a text without a word has failed already, and may be of a group without a sketch
     joined = measured.join(fences, same, "left").withColumn("base_failed", base_failed)
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
