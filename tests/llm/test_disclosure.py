@@ -1,0 +1,194 @@
+"""Terms that disclose personal data, against a plain version; rules that adapt; long words."""
+
+import math
+import random
+import re
+import tracemalloc
+
+import pytest
+
+from loomset.llm import pii, quality_rules, repeats
+from loomset.llm.words import SPACED, Words, normal
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def _docs(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+# personal data
+
+
+def _words(text, spans):
+    found = [m.span() for m in re.finditer(r"[A-Za-z0-9\u0080-\U0010ffff]+", text)]
+    return [(a, z) for a, z in found if not any(s < z and a < e for _, s, e in spans)]
+
+
+def _low(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def brute_force(rows, threshold=0.9, least=2):
+    """The places of disclosing terms in each row, by counting everything."""
+    base = [pii.find(t) if t else [] for _, t in rows]
+    held, terms, pairs, contexts, documents = {}, {}, {}, {}, {}
+    for (doc_id, text), spans in zip(rows, base):
+        text = text or ""
+        for term in {_low(m) for m in re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", text)}:
+            terms[term] = terms.get(term, 0) + 1
+        for e in {(k, text[a:z].lower()) for k, a, z in spans}:
+            held[e] = held.get(e, 0) + 1
+        words, seen = _words(text, spans), set()
+        for k, a, z in spans:
+            mid = sum(w[0] < a for w in words)
+            near = [_low(text[s:e]) for s, e in words[max(0, mid - 8) : mid + 8]]
+            for term in set(near):
+                pair = (k, text[a:z].lower()), term
+                seen.add(pair)
+                contexts.setdefault(pair, set()).add(tuple(near))
+                documents.setdefault(pair, set()).add((doc_id, text))
+        for pair in seen:
+            pairs[pair] = pairs.get(pair, 0) + 1
+    n, told = len(rows), {}
+    for (e, term), both in pairs.items():
+        if min(len(documents[e, term]), len(contexts[e, term])) >= least and held[e] < n:
+            share = math.log(n * both / (held[e] * terms[term])) / math.log(n / held[e])
+            if share >= threshold:
+                told.setdefault(e, set()).add(term)
+    out = []
+    for (_, text), spans in zip(rows, base):
+        asked = set().union(*(told.get((k, text[a:z].lower()), set()) for k, a, z in spans)) if spans else set()
+        out.append([(a, z) for a, z in _words(text or "", spans) if _low(text[a:z]) in asked])
+    return out
+
+
+def test_terms_against_brute_force(spark):
+    random.seed(21)
+    common = ["the", "a", "of", "to", "in", "on", "is", "it"]
+    people = [(f"p{i}@mail.example", n) for i, n in enumerate(["Kim", "x7", "Zephyrine", "日本", "of"])]
+    rows = []
+    for i in range(240):
+        words = random.choices(common, k=random.randint(0, 40))
+        if i % 3 == 0:
+            mail, name = people[i % 5]
+            place = random.randint(0, len(words))
+            words[place:place] = [name, mail] if random.random() < 0.8 else [mail]
+            if random.random() < 0.5:
+                words += ["filler"] * 12 + [name]
+        rows.append((i, " ".join(words)))
+    rows += [rows[0], rows[0], (None, rows[3][1]), (500, None), (501, ""), (502, "Kim alone")]
+    got = sorted(((r.doc_id, [(x.start, x.end) for x in r.terms]) for r in pii.spans(_docs(spark, rows)).collect()), key=repr)
+    want = sorted(((row[0], x) for row, x in zip(rows, brute_force(rows))), key=repr)
+    assert got == want
+    assert sum(len(x) for _, x in want) > 40
+
+
+def test_far_short_and_numbered_terms_go(spark):
+    filler = " ".join(f"word{i}" for i in range(300))
+    random.seed(2)
+    rows = [(i, " ".join(random.sample(filler.split(), 30))) for i in range(200)]
+    near = lambda: " ".join(random.sample(filler.split(), 12))
+    rows += [(1000 + i, f"{near()} Kim b7 k@mail.example {near()} {near()} kim") for i in range(6)]
+    rows += [(2000, f"k@mail.example {near()} {near()} and Kim"), (2001, "Kim without it")]
+    done = {r.doc_id: r.text for r in pii.sanitise(_docs(spark, rows)).collect()}
+    for i in range(6):
+        assert re.search(r"\bkim\b|b7", done[1000 + i], re.I) is None and done[1000 + i].endswith("[TERM]")
+    assert done[2000].endswith("and [TERM]") and done[2001] == "Kim without it"
+    gone = {r.doc_id: r.text for r in pii.sanitise(_docs(spark, rows), remove=0.9).collect()}
+    assert "[TERM]" not in gone[1000] and gone[2000].endswith("and ")
+
+
+def test_an_address_list_takes_memory_in_proportion():
+    lines = [f"contact person user{i}@mail.example" for i in range(28_000)]
+    sizes = []
+    for n in (7_000, 28_000):
+        text = "\n".join(lines[:n])
+        spans = pii.find(text)
+        tracemalloc.start()
+        found = pii._near(text, spans)
+        sizes.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert len(found) == 2 * n
+    assert len(text) > 900_000 and sizes[1] < 100e6 and sizes[1] < 5 * sizes[0]
+
+
+# words that a polynomial can't tell apart
+
+
+def thue_morse(n):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    word = "".join("ab"[b] for b in bits)
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [8, 64, 1024, 4096])
+def test_words_of_one_pattern_differ(spark, size):
+    one, other = thue_morse(size)
+    words = Words([normal(f"{one} {other} {one}".encode(), SPACED)])
+    for seed in (1, 2):
+        a, b, c = words.hashes(seed).tolist()
+        assert a == c != b
+    head = " ".join(f"u{i}" for i in range(12))
+    found = repeats.remove_repeats(_docs(spark, [(1, f"{head} {one}"), (2, f"{head} {other}"), (3, f"{head} {one}")])).collect()
+    assert {r.doc_id: r.n_removed for r in found} == {1: 0, 2: 0, 3: 13}
+    seven = "a b c d e f g"
+    df = _docs(spark, [(1, f"{seven} {one} x {seven} {other}", "en", "s")], "doc_id bigint, text string, lang string, source string")
+    assert quality_rules.judge(df).first().n_repeat_words == 0
+
+
+def test_hashes_follow_the_bytes():
+    random.seed(1)
+    rows = ["".join(random.choices("ab\x01é", k=random.randint(1, 200))) for _ in range(3000)] + ["a" * 70_000, "a" * 69_999 + "b"]
+    rows += [x[:-1] + "\x02" for x in rows] + rows
+    words = Words([x.encode() for x in rows])
+    names = {}
+    for text, h in zip(rows, words.hashes().tolist()):
+        assert names.setdefault(text, h) == h
+    assert len(set(names.values())) == len(names)
+
+
+# rules that adapt
+
+
+def test_clean_texts_of_a_skewed_group_stay(spark):
+    random.seed(8)
+    words = [f"w{i}" for i in range(4000)]
+    prose = lambda n=80: " ".join(random.sample(words, n))
+    bad = lambda: "\n".join([prose(12)] * 2 + [" ".join(random.sample(words, 2)) + " a"] * 1 + ["same line here now"] * 8)
+    rows = [(i, bad(), "en", "junk") for i in range(160)] + [(1000 + i, prose(), "en", "junk") for i in range(40)]
+    rows += [(2000 + i, prose(), "en", "clean") for i in range(200)]
+    df = _docs(spark, rows, "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id for r in quality_rules.judge(df).filter("kept").collect()}
+    assert {1000 + i for i in range(40)} <= kept and {2000 + i for i in range(200)} <= kept
+
+
+def test_repeats_below_the_fixed_limit_can_fail(spark):
+    random.seed(9)
+    words = [f"w{i}" for i in range(4000)]
+    prose = lambda n: random.sample(words, n)
+    rows = [(i, " ".join(prose(100)), "en", "s") for i in range(150)]
+    again = prose(12)
+    rows.append((5000, " ".join(prose(40) + again + prose(36) + again), "en", "s"))
+    df = _docs(spark, rows, "doc_id bigint, text string, lang string, source string")
+    found = {r.doc_id: r for r in quality_rules.judge(df).collect()}
+    strange = found.pop(5000)
+    assert 15 * strange.n_words < 100 * strange.n_repeat_words < 30 * strange.n_words
+    assert not strange.kept and not strange.base_failed and all(r.kept for r in found.values())
+
+
+def test_a_group_of_any_size_has_thresholds_between_its_own_and_the_wider(spark):
+    random.seed(10)
+    words = [f"w{i}" for i in range(4000)]
+    wide = []
+    long = [(i, " ".join(w * 4 for w in random.sample(words, 30)), "en", "long") for i in range(1000)]
+    short = [(5000 + i, " ".join(random.sample(words, 30)), "en", "short") for i in range(1000)]
+    for n in (1, 20, 99, 100, 101, 1000):
+        rows = long[:n] + short
+        df = _docs(spark, rows, "doc_id bigint, text string, lang string, source string")
+        counts = quality_rules.sketches(quality_rules.measure(df))
+        table = {r.source: r for r in quality_rules.thresholds(counts).collect()}
+        wide.append(table["long"].high_length)
+    assert wide[0] < wide[1] and abs(wide[2] - wide[3]) < 0.5 and abs(wide[3] - wide[4]) < 0.5
