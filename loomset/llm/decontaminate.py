@@ -23,8 +23,11 @@ from loomset.llm.words import PLAIN, Words, free, map_slices, normal, row_key, s
 
 #: Words of a shingle, fewer only where a whole item has fewer.
 SHINGLE = 3
-#: Up to this many windows are sent to every executor (about 100 bytes each).
+#: Windows are sent to every executor up to this many, and this many bytes of words.
 BROADCAST_WINDOWS = 50_000
+BROADCAST_BYTES = 16 << 20
+#: Windows that may start in one part of a stretch.
+PART = 64
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -62,13 +65,16 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
     return map_slices(base, make, "item_id bigint, words string, n int, hashes array<bigint>")
 
 
-_STRETCHES = "array<struct<start:int, size:int, words:string, hashes:array<bigint>>>"
+_STRETCHES = "array<struct<start:int, size:int, own:int, words:string, hashes:array<bigint>>>"
 
 
-def _stretches(docs: DataFrame, bits: np.ndarray, shortest: dict[int, int]) -> DataFrame:
+def _stretches(docs: DataFrame, bits: np.ndarray, lengths: dict[int, tuple[int, int]]) -> DataFrame:
     """(doc_id, key, n_words, stretches) for each row; see the module's docstring.
 
-    ``shortest`` has, for each shingle size in use, the words of the shortest window.
+    ``lengths`` has, for each shingle size in use, the words of the shortest and of the
+    longest window.  A stretch comes in parts: ``own`` windows can start in each, and the
+    words that the last of these needs are there as well, so that a row of a shingle
+    carries a few words, however long the stretch is.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -77,28 +83,35 @@ def _stretches(docs: DataFrame, bits: np.ndarray, shortest: dict[int, int]) -> D
         found = Words(rows)
         h = found.hashes()
         out: list[list[dict]] = [[] for _ in rows]
-        for size, least in shortest.items():
+        for size, (least, most) in lengths.items():
             at, values = found.runs(h, size)
             hit = bitmap.may_hold(shared.value, values)
             at, values = at[hit], values[hit]
             # the next shingle belongs to the stretch if it starts one word on
             cut = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(found.row[at]) != 0)][: len(at)])
             for a, z in zip(cut.tolist(), np.r_[cut[1:], len(at)].tolist()):
-                n = z - a + size - 1
-                if n >= least:
-                    first = int(at[a])
-                    words = found.data[found.start[first] : found.end[first + n - 1]].tobytes()
+                if z - a + size - 1 < least:
+                    continue
+                for b in range(a, z, PART):
+                    own = min(PART, z - b)
+                    to = min(z, b + own + most - size)
+                    first = int(at[b])
+                    words = found.data[found.start[first] : found.end[first + to - b + size - 2]].tobytes()
                     out[found.row[first]].append(
                         {
                             "start": int(found.place[first]),
                             "size": size,
+                            "own": own,
                             "words": words.decode(),
-                            "hashes": values[a:z].view(np.int64).tolist(),
+                            "hashes": values[b:to].view(np.int64).tolist(),
                         }
                     )
         kind = pa.list_(
             pa.struct(
-                [("start", pa.int32()), ("size", pa.int32()), ("words", pa.string()), ("hashes", pa.list_(pa.int64()))]
+                [
+                    ("start", pa.int32()), ("size", pa.int32()), ("own", pa.int32()),
+                    ("words", pa.string()), ("hashes", pa.list_(pa.int64())),
+                ]
             )
         )
         return pa.record_batch(
@@ -125,14 +138,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     """
     wide = stored(item_windows(items, window))
     single = F.least(F.lit(SHINGLE), "n")
-    sizes = wide.groupBy(single.alias("size")).agg(F.min("n").alias("n"))
-    shortest = dict(sizes.collect())
+    sizes = wide.groupBy(single.alias("size")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    lengths = {r["size"]: (r.least, r.most) for r in sizes.collect()}
     bits = bitmap.build(wide.select(F.explode("hashes").alias("h")), "h")
-    scanned = stored(_stretches(docs, bits, shortest))
+    scanned = stored(_stretches(docs, bits, lengths))
     pieces = scanned.select("doc_id", "key", F.explode("stretches").alias("s")).select("doc_id", "key", "s.*")
-    tokens = pieces.select(
-        "doc_id", "key", "start", "size", "words", F.posexplode("hashes").alias("at", "h")
-    )
+    # the shingles behind a part's own are those of the next one
+    tokens = pieces.select("size", F.explode(F.slice("hashes", 1, F.col("own"))).alias("h"))
     counts = tokens.groupBy("size", "h").count()
     windows = wide.select("words", "n", "hashes").distinct().select(
         F.col("words").alias("window"), "n", single.alias("size"), F.posexplode("hashes").alias("off", "h")
@@ -147,12 +159,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     )
     prefix = stored(prefix)
     of_item = wide.select(F.col("words").alias("window"), "item_id").distinct()
-    if prefix.count() <= BROADCAST_WINDOWS:
+    n, size = prefix.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()
+    if n <= BROADCAST_WINDOWS and size <= BROADCAST_BYTES:
         prefix = F.broadcast(prefix)
     begin = F.col("at") - F.col("off")
-    room = (begin >= 0) & (begin + F.col("n") - F.col("size") < F.col("length"))
+    room = (begin >= 0) & (begin < F.col("own")) & (begin + F.col("n") - F.col("size") < F.col("length"))
     met = pieces.select("*", F.size("hashes").alias("length")).select(
-        "doc_id", "key", "start", "size", "words", "length", F.posexplode("hashes").alias("at", "h")
+        "doc_id", "key", "start", "size", "words", "own", "length", F.posexplode("hashes").alias("at", "h")
     )
     same = F.array_join(F.slice(F.split("words", " "), begin + 1, F.col("n")), " ") == F.col("window")
     hits = (
