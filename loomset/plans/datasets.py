@@ -23,7 +23,7 @@ from loomset.operators.split import (
     split_key,
 )
 from loomset.operators.rows import RESERVED, parsed_rows, path_of
-from loomset.sources import remove, scan_json_texts, scan_jsonl, shared_dir, stage
+from loomset.sources import exists, remove, scan_json_texts, scan_jsonl, shared_dir, stage
 
 logger = logging.getLogger(__name__)
 
@@ -80,22 +80,62 @@ class Recipe:
 
 
 class Staging:
-    """Staged folders; those of a ``with`` block are deleted at its end."""
+    """Staged folders; those of a ``with`` block are deleted at its end.
 
-    def __init__(self, spark: SparkSession):
-        self._spark, self._paths = spark, []
+    A folder that an earlier run left whole is taken over; ``told`` hears of the folder
+    before it is written.  When the block ends with an exception, the folders stay.
+    """
+
+    def __init__(
+        self, spark: SparkSession, earlier: str | None = None, told: Callable[[str], None] | None = None
+    ):
+        self._spark, self._paths, self._told = spark, [], told
+        if earlier and not exists(spark, f"{earlier}/_SUCCESS"):
+            remove(spark, earlier)
+            earlier = None
+        self._earlier = earlier
 
     def stage(self, df: DataFrame) -> DataFrame:
+        if self._earlier:
+            path, self._earlier = self._earlier, None
+            self._paths.append(path)
+            logger.info("rows staged by an earlier run are taken over")
+            return df.sparkSession.read.schema(df.schema).parquet(path)
         path = shared_dir(self._spark)
         self._paths.append(path)
+        if self._told:
+            self._told(path)
         return stage(df, path)
 
+    def close(self) -> None:
+        while self._paths:
+            remove(self._spark, self._paths.pop())
+
     def __enter__(self) -> Staging:
         return self
 
+    def __exit__(self, kind: object, *exc: object) -> None:
+        if kind is None or not self._told:
+            self.close()
+
+
+class LoadedData(PreparedData):
+    """What ``load_*`` gives: read from staged rows, where a split was asked for.
+
+    ``close()``, or the end of a ``with`` block, deletes these.
+    """
+
+    staging: Staging | None = None
+
+    def close(self) -> None:
+        if self.staging:
+            self.staging.close()
+
+    def __enter__(self) -> LoadedData:
+        return self
+
     def __exit__(self, *exc: object) -> None:
-        for path in self._paths:
-            remove(self._spark, path)
+        self.close()
 
 
 def sft_recipe(
@@ -141,7 +181,7 @@ def load_sft_dataset(
     text_field: str = "text",
     seed: int = 42,
     options: ReadOptions = ReadOptions(),
-) -> PreparedData:
+) -> LoadedData:
     """Chat, instruction or prompt/completion rows as one text column."""
     recipe = sft_recipe(chat_template_fn, system_prompt, text_field)
     return _load(spark, recipe, data_path, eval_path, val_split, seed, options)
@@ -156,7 +196,7 @@ def load_text_corpus(
     text_field: str = "text",
     seed: int = 42,
     options: ReadOptions = ReadOptions(),
-) -> PreparedData:
+) -> LoadedData:
     """Raw text rows as one text column, without any formatting."""
     recipe = corpus_recipe(text_field)
     return _load(spark, recipe, data_path, eval_path, val_split, seed, options)
@@ -172,7 +212,7 @@ def load_dpo_dataset(
     system_prompt: str | None = None,
     seed: int = 42,
     options: ReadOptions = ReadOptions(),
-) -> PreparedData:
+) -> LoadedData:
     """Preference rows as ``prompt``, ``chosen`` and ``rejected``."""
     recipe = preference_recipe(chat_template_fn, system_prompt)
     return _load(spark, recipe, data_path, eval_path, val_split, seed, options)
@@ -228,10 +268,13 @@ def _load(
     val_split: float,
     seed: int,
     options: ReadOptions,
-) -> PreparedData:
-    rows = labelled_rows(spark, recipe, data_path, eval_path, val_split, seed, options)
+) -> LoadedData:
+    staging = Staging(spark)
+    rows = labelled_rows(spark, recipe, data_path, eval_path, val_split, seed, options, staging)
     has_eval = bool(eval_path) or val_split > 0
-    return by_split(rows, recipe.columns, has_eval, options.on_error)
+    data = LoadedData(*by_split(rows, recipe.columns, has_eval, options.on_error))
+    data.staging = staging
+    return data
 
 
 def by_split(

@@ -11,11 +11,14 @@ from loomset.sources.files import (
 )
 from loomset.sources.sinks import (
     exists,
+    read_note,
     remove,
+    scratch,
     shared_dir,
     stage,
     write_jsonl,
     write_jsonl_pair,
+    write_note,
     write_split_table,
 )
 
@@ -24,14 +27,17 @@ __all__ = [
     "SplitRoutes",
     "discover_corpus",
     "exists",
+    "read_note",
     "remove",
     "route_table",
     "scan_json",
     "scan_json_texts",
     "scan_jsonl",
+    "scratch",
     "shared_dir",
     "stage",
     "write_jsonl",
     "write_jsonl_pair",
+    "write_note",
     "write_split_table",
 ]

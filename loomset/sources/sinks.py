@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folders that the innermost scratch block owns.
+_OWNED: ContextVar[list[str] | None] = ContextVar("loomset_owned", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end of the block, all folders that the library staged within it.
+
+    Results that are read from such folders have to be written or collected inside the
+    block.  It gives the list of folders; what is taken out of it stays.
+    """
+    owned: list[str] = []
+    before = _OWNED.set(owned)
+    try:
+        yield owned
+    finally:
+        _OWNED.reset(before)
+        for path in owned:
+            remove(spark, path)
+
 
 def write_split_table(df: DataFrame, path: str) -> None:
     """Write Parquet with one directory per ``split``, in a single pass.
@@ -35,6 +60,27 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def read_note(spark: SparkSession, path: str) -> Any:
+    """What :func:`write_note` wrote to ``path``, or None where there is nothing."""
+    if not exists(spark, path):
+        return None
+    rows = spark.read.text(path, wholetext=True).collect()
+    try:
+        return json.loads(rows[0]["value"])
+    except (IndexError, ValueError):  # its writer was stopped
+        return None
+
+
+def write_note(spark: SparkSession, path: str, content: Any) -> None:
+    """Write a short JSON file, in whatever file system ``path`` names, or replace it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(json.dumps(content, indent=1), "utf-8"))
+    finally:
+        out.close()
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """Write JSON Lines; ``path`` becomes a directory of part files."""
     df.write.json(path)
@@ -61,7 +107,11 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base.rstrip('/')}/loomset-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/loomset-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
