@@ -1,26 +1,29 @@
 """Substring dedup over a compacted De Bruijn graph of word runs.
 
-An edge of the graph is a run of ``size`` words (from the node of its first ``size`` - 1
-words to that of its last).  Only edges of more than one document matter, and they are
-found in three scans:
+An edge of the graph is a run of ``size`` words, from the node of its first ``size`` - 1
+words to that of its last; the hashes of the two nodes name it.  Only edges of more than
+one document matter.
 
 1. Each edge has a minimiser, the short run of words in it with the smallest hash.
    Equal edges have equal minimisers, and neighbouring edges mostly share one, so
    that about one short run in five words is sent to be counted.  A minimiser of a
-   single document belongs to no repeated edge.
-2. Edges whose minimiser repeats are grouped by a 96-bit hash.  Each keeps its source:
-   the smallest doc_id and the place there.  A Bloom filter of fixed size leaves
-   out most of the others before the shuffle; it lets all through that repeat, and
+   single document belongs to no repeated edge.  A Bloom filter of fixed size leaves
+   out most edges without a repeated one; it lets all through that repeat, and
    where a very large corpus fills it, it merely spares less.
-3. Joined back to their occurrences, edges follow each other along a path without a
-   branch where place and source place both go up by one; such paths become one span.
-   A span is taken only if its source coordinates hold throughout.
+2. The edges that repeat keep their source: the smallest doc_id and a place there.
+3. A node with more than one edge in, or out, is a branch.  An edge joined to the one
+   before it in their source continues its path, unless the node between them is a
+   branch; edges are so compacted to paths.
+4. Joined back to their occurrences, the edges of one path that follow each other in a
+   document are a span.  A span is removed if its words, hashed anew from the text, are
+   those at its coordinates in the source.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,8 @@ from loomset.llm.words import SPACED, Words, free, map_slices, normal, row_key,
 
 #: Words of a minimiser.
 SHORT = 5
+#: Spans that are verified with one copy of their source.
+SPANS_AT_ONCE = 50_000
 
 
 def _minimisers(words: Words, hashes: np.ndarray, size: int):
@@ -65,28 +70,49 @@ def _repeated_minimisers(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _edges(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
-    """Edges that may repeat: two hashes, document, and place with the row's key."""
+    """Edges that may repeat: their nodes u and v, document, and place with the row's key."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = _read(batch)
-        first = words.hashes()
-        at, least = _minimisers(words, first, size)
-        _, h1 = words.runs(first, size)
-        _, h2 = words.runs(words.hashes(2), size)
-        may = np.flatnonzero(bitmap.may_hold(shared.value, least))
-        row = words.row[at[may]]
+        hashes = words.hashes()
+        at, least = _minimisers(words, hashes, size)
+        starts, h = words.runs(hashes, size - 1)
+        nodes = np.zeros(len(hashes), np.uint64)
+        nodes[starts] = h
+        at = at[bitmap.may_hold(shared.value, least)]
+        row = words.row[at]
         return pa.record_batch(
             {
-                "h1": h1[may].view(np.int64),
-                "h2": (h2[may] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+                "u": nodes[at].view(np.int64),
+                "v": nodes[at + 1].view(np.int64),
                 "doc_id": _ids(batch, "doc_id")[row],
                 "key": _ids(batch, "key")[row].astype(np.int32),
-                "place": words.place[at[may]].astype(np.int32),
+                "place": words.place[at].astype(np.int32),
             }
         )
 
-    return map_slices(docs, make, "h1 bigint, h2 int, doc_id bigint, key int, place int")
+    return map_slices(docs, make, "u bigint, v bigint, doc_id bigint, key int, place int")
+
+
+def compacted(edges: DataFrame) -> DataFrame:
+    """``edges`` (u, v, source_id, source_key, source_place) with ``path``.
+
+    ``path`` is the place in the source where the edge's path begins: the longest run of
+    edges that follow each other there without a branch at a node between two of them.
+    """
+    many = F.count("*") > 1
+    out = edges.groupBy("u").agg(many.alias("many")).filter("many").select(F.col("u").alias("node"))
+    into = edges.groupBy("v").agg(many.alias("many")).filter("many").select(F.col("v").alias("node"))
+    branches = out.union(into).distinct().withColumn("branch", F.lit(True))
+    here = ["source_id", "source_key", "source_place"]
+    before = edges.select("source_id", "source_key", (F.col("source_place") + 1).alias("source_place"), F.col("v").alias("from"))
+    joined = edges.join(before, here, "left").join(branches, F.col("u") == F.col("node"), "left")
+    goes_on = F.col("branch").isNull() & F.coalesce(F.col("from") == F.col("u"), F.lit(False))
+    begin = F.when(~goes_on, F.col("source_place"))
+    # the rows of one source, each edge once
+    upto = Window.partitionBy("source_id", "source_key").orderBy("source_place")
+    return joined.select("u", "v", *here, F.max(begin).over(upto).alias("path"))
 
 
 def _row() -> Column:
@@ -95,44 +121,82 @@ def _row() -> Column:
 
 
 def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
-    """Spans (doc_id, key, start, words, source_id, source_start) of repeated words.
+    """Spans (doc_id, key, start, words, source_id, source_key, source_start) of repeated words.
 
     A span is a maximal run of places whose windows of ``size`` words stand one after
-    the other in the source, a document with a smaller doc_id; ``words`` counts the
-    words under all of its windows.  ``key`` tells rows of one doc_id apart.  Rows
-    with a NULL doc_id or text have no spans.
+    the other on one path of the source, a document with a smaller doc_id; ``words``
+    counts the words under all of its windows.  ``key`` tells rows of one doc_id apart.
+    Of several places in the source, the first one counts.  Rows with a NULL doc_id or
+    text have no spans.
     """
+    if size < 3:
+        raise ValueError("two nodes name the words of an edge if they share a word at least")
     base = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     keyed = base.select("doc_id", "text", _row())
     bits = bitmap.build(stored(_repeated_minimisers(base, size)), "m")
     edges = _edges(keyed, size, bits)
-    first = edges.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("source_id"),
-        F.max("doc_id").alias("last"),
-        F.min_by("place", "doc_id").alias("source_place"),
+    first = edges.groupBy("u", "v").agg(
+        F.min(F.struct("doc_id", "key", "place")).alias("source"), F.max("doc_id").alias("last")
     )
-    first = stored(first.filter("source_id < last").drop("last"))
-    # an edge is one row of ``first``, which therefore spreads evenly
-    found = edges.join(first.hint("shuffle_hash"), ["h1", "h2"]).filter("doc_id > source_id")
-    found = stored(found.drop("h1", "h2"))
-    of_row = Window.partitionBy("doc_id", "key").orderBy("place")
-    before = F.lag(F.struct("place", "source_id", "source_place")).over(of_row)
-    # one word on in both; rows that are equal give a place more than once
-    step = F.col("place") - F.col("before.place")
-    follows = (
-        (step <= 1)
-        & (F.col("before.source_id") == F.col("source_id"))
-        & (F.col("source_place") - F.col("before.source_place") == step)
+    first = first.filter("source.doc_id < last").select(
+        "u",
+        "v",
+        F.col("source.doc_id").alias("source_id"),
+        F.col("source.key").alias("source_key"),
+        F.col("source.place").alias("source_place"),
+    )
+    paths = stored(compacted(stored(first)))
+    # an edge is one row of ``paths``
+    found = edges.join(paths.hint("shuffle_hash"), ["u", "v"]).filter("doc_id > source_id")
+    found = stored(found.drop("u", "v"))
+    # equal rows have the same places
+    shift = F.col("place") - F.col("source_place")
+    run = ["doc_id", "key", "source_id", "source_key", "path", "shift"]
+    places = found.withColumn("shift", shift).groupBy(*run, "place").agg(F.lit(1).alias("one"))
+    island = F.col("place") - F.row_number().over(Window.partitionBy(*run).orderBy("place"))
+    spans = places.withColumn("island", island).groupBy(*run, "island").agg(
+        F.min("place").alias("start"), (F.max("place") - F.min("place") + size).alias("words")
+    )
+    return spans.select(
+        "doc_id", "key", "start", "words", "source_id", "source_key", (F.col("start") - F.col("shift")).alias("source_start")
+    )
+
+
+def _digests(text: bytes | None, spans: list[tuple[int, int]]) -> list[int]:
+    """A hash of each span of words, of their bytes, by another rule than the edges'."""
+    words = text.split() if text else []
+    return [xxhash.xxh3_64_intdigest(b" ".join(words[a : a + n])) >> 1 for a, n in spans]
+
+
+def _verified(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``spans`` with ``digest``, the hash of the words at their coordinates in the source.
+
+    A source's text is sent once for each SPANS_AT_ONCE different spans of it.
+    """
+    names = ["source_id", "source_key", "source_start", "words"]
+    asked = spans.select(*names).distinct()
+    number = asked.groupBy("source_id", "source_key").agg(F.ceil(F.count("*") / SPANS_AT_ONCE).alias("parts"))
+    part = F.pmod(F.xxhash64("source_start", "words"), F.col("parts"))
+    asked = asked.join(number, ["source_id", "source_key"]).groupBy("source_id", "source_key", part.alias("part")).agg(
+        F.collect_list(F.struct("source_start", "words")).alias("asked")
     )
-    told = found.withColumn("before", before)
-    told = told.withColumn("new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
-    told = told.withColumn("path", F.sum("new").over(of_row))
-    return told.groupBy("doc_id", "key", "path").agg(
-        F.min("place").alias("start"),
-        (F.max("place") - F.min("place") + size).alias("words"),
-        F.first("source_id").alias("source_id"),
-        F.min("source_place").alias("source_start"),
-    ).drop("path")
+    keyed = docs.select("doc_id", "text", _row())
+    on = (F.col("doc_id") == F.col("source_id")) & (F.col("key") == F.col("source_key"))
+    sources = keyed.join(asked, on).select("source_id", "source_key", "text", "asked")
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, keys, told = (batch.column(c).to_pylist() for c in ("source_id", "source_key", "asked"))
+        out: list[tuple] = []
+        for text, i, key, asked_here in zip(texts(batch), ids, keys, told):
+            pairs = [(x["source_start"], x["words"]) for x in asked_here]
+            out += [(i, key, *pair, h) for pair, h in zip(pairs, _digests(text, pairs))]
+        columns = list(zip(*out)) or [[]] * 5
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+        return pa.record_batch([pa.array(x, t) for x, t in zip(columns, types)], [*names, "digest"])
+
+    schema = "source_id bigint, source_key int, source_start int, words int, digest bigint"
+    # a repeated row gives the same hashes again
+    return spans.join(map_slices(sources, make, schema).distinct(), names)
 
 
 def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
@@ -141,11 +205,12 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     A word goes if a window of ``size`` words over it also starts in a document with a
     smaller doc_id.  NULL texts have no words; a text of fewer than ``size`` words and
     a row without a doc_id lose none; rows of one doc_id are not repeats of each
-    other.  Windows are judged on the input.  ``kept`` joins words by one space.
+    other.  Windows are judged on the input.  ``kept`` joins words by one space.  A text
+    is held whole, with about 60 bytes for each of its words.
     """
-    spans = repeated_spans(docs, size)
+    spans = _verified(docs, stored(repeated_spans(docs, size)))
     cuts = spans.groupBy("doc_id", "key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "words"))).alias("cuts")
+        F.sort_array(F.collect_list(F.struct("start", "words", "digest"))).alias("cuts")
     )
     base = without(docs, "n_words", "n_removed", "kept")
     names = base.columns
@@ -162,8 +227,11 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
             n_words.append(len(words))
             if cuts:
                 steps = np.zeros(len(words) + 1, np.int32)
-                np.add.at(steps, [c["start"] for c in cuts], 1)
-                np.add.at(steps, [c["start"] + c["words"] for c in cuts], -1)
+                pairs = [(c["start"], c["words"]) for c in cuts]
+                own = _digests(text, pairs)
+                pairs = [pair for pair, h, c in zip(pairs, own, cuts) if h == c["digest"]]
+                np.add.at(steps, [a for a, _ in pairs], 1)
+                np.add.at(steps, [a + n for a, n in pairs], -1)
                 stay = np.flatnonzero(np.cumsum(steps)[:-1] == 0)
                 words = [words[i] for i in stay.tolist()]
             n_removed.append(n_words[-1] - len(words))

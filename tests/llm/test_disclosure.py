@@ -192,3 +192,36 @@ def test_a_group_of_any_size_has_thresholds_between_its_own_and_the_wider(spark)
         table = {r.source: r for r in quality_rules.thresholds(counts).collect()}
         wide.append(table["long"].high_length)
     assert wide[0] < wide[1] and abs(wide[2] - wide[3]) < 0.5 and abs(wide[3] - wide[4]) < 0.5
+
+
+# compaction
+
+
+def test_edges_are_compacted_up_to_branches(spark):
+    # two passages that share their middle: its first and its last node are branches
+    middle = [f"m{i}" for i in range(8)]
+    one = [f"a{i}" for i in range(6)] + middle + [f"b{i}" for i in range(6)]
+    two = [f"c{i}" for i in range(6)] + middle + [f"d{i}" for i in range(6)]
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (3, "x " + " ".join(one)), (4, " ".join([*two, "y", *two]))]
+    spans = sorted(tuple(r) for r in repeats.repeated_spans(_docs(spark, rows), size=4).select("doc_id", "start", "words", "source_id", "source_start").collect())
+    assert (2, 6, 8, 1, 6) in spans
+    for doc, start, words, source, at in spans:
+        assert rows[doc - 1][1].split()[start : start + words] == rows[source - 1][1].split()[at : at + words]
+    # the copy of the first passage falls into three paths, cut at the branches
+    assert len([s for s in spans if s[0] == 3]) == 3
+    gone = {r.doc_id: (r.n_removed, r.kept) for r in repeats.remove_repeats(_docs(spark, rows), size=4).collect()}
+    assert gone == {1: (0, rows[0][1]), 2: (8, " ".join(two[:6] + two[14:])), 3: (20, "x"), 4: (40, "y")}
+
+
+def test_spans_that_are_not_in_their_source_stay(spark, monkeypatch):
+    passage = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, passage), (2, passage), (3, "other words " * 10)]
+    real = repeats.repeated_spans
+
+    def wrong(docs, size):
+        from pyspark.sql import functions as F
+
+        return real(docs, size).withColumn("source_start", F.col("source_start") + 1)
+
+    monkeypatch.setattr(repeats, "repeated_spans", wrong)
+    assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(_docs(spark, rows)).collect()} == {1: 0, 2: 0, 3: 0}
