@@ -11,9 +11,9 @@ one document matter.
    out most edges without a repeated one; it lets all through that repeat, and
    where a very large corpus fills it, it merely spares less.
 2. The edges that repeat keep their source: the smallest doc_id and a place there.
-3. A node with more than one edge in, or out, is a branch.  An edge joined to the one
-   before it in their source continues its path, unless the node between them is a
-   branch; edges are so compacted to paths.
+3. A node with more than one edge in, or out, is a branch.  Edges are joined to the
+   branches; one that follows another in their source continues its path, unless the
+   node between them is a branch.  Edges are so compacted to paths.
 4. Joined back to their occurrences, the edges of one path that follow each other in a
    document are a span.  A span is removed if its words, hashed anew from the text, are
    those at its coordinates in the source.
@@ -70,7 +70,8 @@ def _repeated_minimisers(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _edges(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
-    """Edges that may repeat: their nodes u and v, document, and place with the row's key."""
+    """Edges that may repeat: their nodes u and v, document, and spot: the row's key, and the
+    place in the lower half."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -87,32 +88,38 @@ def _edges(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
                 "u": nodes[at].view(np.int64),
                 "v": nodes[at + 1].view(np.int64),
                 "doc_id": _ids(batch, "doc_id")[row],
-                "key": _ids(batch, "key")[row].astype(np.int32),
-                "place": words.place[at].astype(np.int32),
+                "spot": (_ids(batch, "key")[row] << 32) + words.place[at],
             }
         )
 
-    return map_slices(docs, make, "u bigint, v bigint, doc_id bigint, key int, place int")
+    return map_slices(docs, make, "u bigint, v bigint, doc_id bigint, spot bigint")
+
+
+def _key_of(spot: str) -> Column:
+    return F.shiftright(spot, 32).cast("int")
+
+
+def _place_of(spot: str) -> Column:
+    return F.col(spot).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
 def compacted(edges: DataFrame) -> DataFrame:
-    """``edges`` (u, v, source_id, source_key, source_place) with ``path``.
+    """``edges`` (u, v, source_id, source_spot) with ``path``.
 
-    ``path`` is the place in the source where the edge's path begins: the longest run of
+    ``path`` is the spot in the source where the edge's path begins: the longest run of
     edges that follow each other there without a branch at a node between two of them.
     """
     many = F.count("*") > 1
     out = edges.groupBy("u").agg(many.alias("many")).filter("many").select(F.col("u").alias("node"))
     into = edges.groupBy("v").agg(many.alias("many")).filter("many").select(F.col("v").alias("node"))
-    branches = out.union(into).distinct().withColumn("branch", F.lit(True))
-    here = ["source_id", "source_key", "source_place"]
-    before = edges.select("source_id", "source_key", (F.col("source_place") + 1).alias("source_place"), F.col("v").alias("from"))
-    joined = edges.join(before, here, "left").join(branches, F.col("u") == F.col("node"), "left")
-    goes_on = F.col("branch").isNull() & F.coalesce(F.col("from") == F.col("u"), F.lit(False))
-    begin = F.when(~goes_on, F.col("source_place"))
+    branches = out.union(into).distinct()
+    joined = edges.join(branches, F.col("u") == F.col("node"), "left")
     # the rows of one source, each edge once
-    upto = Window.partitionBy("source_id", "source_key").orderBy("source_place")
-    return joined.select("u", "v", *here, F.max(begin).over(upto).alias("path"))
+    source = Window.partitionBy("source_id", _key_of("source_spot")).orderBy("source_spot")
+    follows = (F.lag("v").over(source) == F.col("u")) & (F.lag("source_spot").over(source) == F.col("source_spot") - 1)
+    goes_on = F.col("node").isNull() & F.coalesce(follows, F.lit(False))
+    joined = joined.withColumn("begin", F.when(~goes_on, F.col("source_spot")))
+    return joined.select("u", "v", "source_id", "source_spot", F.max("begin").over(source).alias("path"))
 
 
 def _row() -> Column:
@@ -125,8 +132,7 @@ def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
 
     A span is a maximal run of places whose windows of ``size`` words stand one after
     the other on one path of the source, a document with a smaller doc_id; ``words``
-    counts the words under all of its windows.  ``key`` tells rows of one doc_id apart.
-    Of several places in the source, the first one counts.  Rows with a NULL doc_id or
+    counts the words under all of its windows.  ``key`` tells rows of one doc_id apart.  Rows with a NULL doc_id or
     text have no spans.
     """
     if size < 3:
@@ -135,31 +141,27 @@ def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
     keyed = base.select("doc_id", "text", _row())
     bits = bitmap.build(stored(_repeated_minimisers(base, size)), "m")
     edges = _edges(keyed, size, bits)
+    # any place of the edge in its source will do
     first = edges.groupBy("u", "v").agg(
-        F.min(F.struct("doc_id", "key", "place")).alias("source"), F.max("doc_id").alias("last")
+        F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"), F.min_by("spot", "doc_id").alias("source_spot")
     )
-    first = first.filter("source.doc_id < last").select(
-        "u",
-        "v",
-        F.col("source.doc_id").alias("source_id"),
-        F.col("source.key").alias("source_key"),
-        F.col("source.place").alias("source_place"),
-    )
-    paths = stored(compacted(stored(first)))
-    # an edge is one row of ``paths``
+    first = stored(first.filter("source_id < last").drop("last"))
+    # an edge is one row of its path; the shuffles of the compaction are given back here
+    paths = stored(compacted(first))
     found = edges.join(paths.hint("shuffle_hash"), ["u", "v"]).filter("doc_id > source_id")
     found = stored(found.drop("u", "v"))
-    # equal rows have the same places
-    shift = F.col("place") - F.col("source_place")
-    run = ["doc_id", "key", "source_id", "source_key", "path", "shift"]
-    places = found.withColumn("shift", shift).groupBy(*run, "place").agg(F.lit(1).alias("one"))
-    island = F.col("place") - F.row_number().over(Window.partitionBy(*run).orderBy("place"))
+    shift = F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)) - F.col("source_spot").bitwiseAND(F.lit((1 << 32) - 1))
+    run = ["doc_id", "key", "source_id", "path", "shift"]
+    places = found.select(
+        "doc_id", _key_of("spot").alias("key"), "source_id", "path", shift.cast("int").alias("shift"), _place_of("spot").alias("place")
+    )
+    # equal rows have the same places, and the same rank of each
+    island = F.col("place") - F.dense_rank().over(Window.partitionBy(*run).orderBy("place"))
     spans = places.withColumn("island", island).groupBy(*run, "island").agg(
         F.min("place").alias("start"), (F.max("place") - F.min("place") + size).alias("words")
     )
-    return spans.select(
-        "doc_id", "key", "start", "words", "source_id", "source_key", (F.col("start") - F.col("shift")).alias("source_start")
-    )
+    at = (F.col("start") - F.col("shift")).alias("source_start")
+    return spans.select("doc_id", "key", "start", "words", "source_id", _key_of("path").alias("source_key"), at)
 
 
 def _digests(text: bytes | None, spans: list[tuple[int, int]]) -> list[int]:
