@@ -3,11 +3,13 @@
 An archive starts with a skippable frame that holds the dictionary, itself compressed
 or plain, and goes on with one frame for each record.  Archives are rows (name,
 content): the writer makes them, and the reader takes its own or the files that Spark
-reads with ``format("binaryFile")``.
+reads with ``format("binaryFile")``, whatever tool made them: every record type of the
+standard, HTTP heads before the payload, digests in base32 or hex or none at all.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import struct
 import uuid
@@ -30,6 +32,16 @@ DICTIONARY_BYTES = 16 << 10
 VERSION = b"WARC/1.1"
 #: Shorter payloads are always stored.
 LEAST_REVISIT = 1000
+#: Up to this many repeated payloads, of some 150 bytes each, are broadcast.
+BROADCAST_PAYLOADS = 100_000
+#: Beyond, the pages of one payload go to this many places of the shuffle.
+SALTS = 16
+#: Record types of the standard.
+TYPES = frozenset(
+    "warcinfo response resource request metadata revisit conversion continuation".split()
+)
+#: Bytes of a digest, by the name of its algorithm.
+DIGESTS = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}
 
 
 class BadArchive(ValueError):
@@ -103,6 +115,12 @@ def frames(content: bytes) -> Iterator[bytes]:
     unpacker = zstandard.ZstdDecompressor(dict_data=known) if known else zstandard.ZstdDecompressor()
     view = memoryview(content)[at:]
     while len(view):
+        if len(view) >= 8 and view[0] >> 4 == 5 and view[1:4] == b"\x2a\x4d\x18":  # skippable
+            end = 8 + int.from_bytes(view[4:8], "little")
+            if end > len(view):
+                raise BadArchive("the last frame is cut off")
+            view = view[end:]
+            continue
         one = unpacker.decompressobj()
         try:
             data = one.decompress(view)
@@ -135,6 +153,67 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:-4]
 
 
+def digest_of(header: str) -> tuple[str, str] | None:
+    """Algorithm and lower-case hex of a digest header, which may be in hex or base32.
+
+    None for algorithms that are not known; they can't be checked.
+    """
+    name, _, value = header.partition(":")
+    name, value = name.strip().lower(), value.strip()
+    size = DIGESTS.get(name)
+    if size is None:
+        return None
+    if len(value) == 2 * size:
+        return name, bytes.fromhex(value).hex()
+    value = value.rstrip("=").upper()
+    raw = base64.b32decode(value + "=" * (-len(value) % 8))
+    if len(raw) != size:
+        raise BadArchive(f"no {name} digest: {header[:80]}")
+    return name, raw.hex()
+
+
+def _fits(header: str | None, data: bytes) -> bool:
+    known = digest_of(header) if header else None
+    return known is None or hashlib.new(known[0], data).hexdigest() == known[1]
+
+
+def dechunked(body: bytes) -> bytes | None:
+    """A body in HTTP's chunked coding as it was before; None if it is not so coded."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or size.strip(b"0123456789abcdefABCDEF"):
+            return None
+        n = int(size, 16)
+        if not n:
+            return b"".join(parts)
+        parts.append(body[end + 2 : end + 2 + n])
+        at = end + 2 + n + 2
+        if body[at - 2 : at] != b"\r\n":
+            return None
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """The payload in a block, checked against the record's digests.
+
+    An HTTP message's payload is its body as it stands or, if only that fits the digest,
+    without chunked coding.  A record that says it was truncated keeps what it has.
+    """
+    if not _fits(headers.get("warc-block-digest"), block):
+        raise BadArchive("the block is not what its digest says")
+    payload = block
+    if headers.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        payload = block.partition(b"\r\n\r\n")[2]
+    digest = headers.get("warc-payload-digest")
+    if "warc-truncated" in headers or _fits(digest, payload):
+        return payload
+    plain = dechunked(payload) if payload is not block else None
+    if plain is None or not _fits(digest, plain):
+        raise BadArchive("the payload is not what its digest says")
+    return plain
+
+
 def write_archives(pages: DataFrame) -> DataFrame:
     """Archives (name, content) of ``pages`` (page_id, url, html), in the shared folder.
 
@@ -152,8 +231,16 @@ def write_archives(pages: DataFrame) -> DataFrame:
     ).withColumn("sha", F.when(F.col("size") >= LEAST_REVISIT, F.sha2("html", 256)).otherwise(alone))
     copies = base.filter((F.col("size") >= LEAST_REVISIT) & F.col("page_id").isNotNull()).groupBy("sha", "size")
     last = copies.agg(F.max("page_id").alias("refers"), F.min("page_id").alias("_first"))
-    last = last.filter("_first < refers").drop("_first")
-    told = base.join(last, ["sha", "size"], "left").select(
+    last = stored(last.filter("_first < refers").drop("_first"))
+    keys = ["sha", "size"]
+    if last.count() <= BROADCAST_PAYLOADS:  # html is not shuffled
+        last = F.broadcast(last)
+    else:
+        keys.append("_salt")
+        base = base.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+        last = last.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        last = last.withColumn("_salt", F.col("_salt").cast("bigint"))
+    told = base.join(last, keys, "left").select(
         "page_id", "url", "html", F.when(F.col("page_id") < F.col("refers"), F.col("refers")).alias("refers")
     )
 
@@ -184,43 +271,54 @@ def write_archives(pages: DataFrame) -> DataFrame:
 
 _READ = (
     "page_id bigint, url string, payload_bytes bigint, payload_digest string, "
-    "record_type string, refers_to bigint, payload binary, error string"
+    "record_type string, refers_to bigint, payload binary, error string, "
+    "record_id string, refers_to_record string, refers_to_url string"
 )
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of ``archives`` (content binary), one row each.
-
-    ``payload`` is NULL for revisits, and for all unless ``payloads``.  A digest or
-    length that does not fit its payload, and whatever breaks the format, gives a row
-    with ``error``; what follows a broken frame in its archive can't be found and is
-    lost with it.  NULL or empty content gives an error row, no archives give none.
+    """The records of ``archives`` (content binary), one row each, of every type.
+
+    ``payload`` is NULL for revisits, and for all unless ``payloads``; of HTTP messages
+    it is the body.  ``payload_digest`` is its SHA-1 in hex, counted anew; that of a
+    revisit is taken from its header, and NULL unless that is a SHA-1.  A revisit names
+    its response by page (archives of this writer), record or address.  A digest or
+    length that does not fit, an unknown record type, and whatever breaks the format,
+    gives a row with ``error``; what follows a broken frame in its archive can't be
+    found and is lost with it.  NULL or empty content gives an error row, no archives
+    give none.
     """
     fields = [x.split()[0] for x in _READ.split(", ")]
 
     def one(data: bytes) -> dict:
         headers, block = parse(data)
-        kind = headers["warc-type"]
-        if kind not in ("response", "revisit"):
+        kind = headers["warc-type"].lower()
+        if kind not in TYPES:
             raise BadArchive(f"unknown record type {kind[:40]}")
-        digest = headers.get("warc-payload-digest", "").removeprefix("sha1:").lower()
-        size = headers.get("x-payload-length", "" if kind == "revisit" else str(len(block)))
+        size = headers.get("x-payload-length")
         page, refers = headers.get("x-page-id"), headers.get("x-refers-to-page-id")
         row = {
             "page_id": None if page is None else int(page),
             "url": headers.get("warc-target-uri"),
-            "payload_bytes": int(size) if size else None,
-            "payload_digest": digest or None,
+            "payload_bytes": None if size is None else int(size),
             "record_type": kind,
             "refers_to": None if refers is None else int(refers),
+            "record_id": headers["warc-record-id"],
+            "refers_to_record": headers.get("warc-refers-to"),
+            "refers_to_url": headers.get("warc-refers-to-target-uri"),
         }
+        digest = headers.get("warc-payload-digest")
         if kind == "revisit":
-            if refers is None or block:
-                raise BadArchive("a revisit has a reference and no block")
-            return row
-        if digest != hashlib.sha1(block).hexdigest() or row["payload_bytes"] != len(block):
-            raise BadArchive("the payload is not what its headers say")
-        return row | ({"payload": block} if payloads else {})
+            told = (refers, row["refers_to_record"], row["refers_to_url"], digest)
+            if not any(told) or not _fits(headers.get("warc-block-digest"), block):
+                raise BadArchive("a revisit has a reference, and the block that it says")
+            known = digest_of(digest) if digest else None
+            return row | {"payload_digest": known[1] if known and known[0] == "sha1" else None}
+        payload = payload_of(headers, block)
+        if size is not None and int(size) != len(payload):
+            raise BadArchive("the payload is not as long as its header says")
+        row |= {"payload_bytes": len(payload), "payload_digest": hashlib.sha1(payload).hexdigest()}
+        return row | ({"payload": payload} if payloads else {})
 
     def rows(content: bytes | None) -> Iterator[dict]:
         if not content:
@@ -235,7 +333,8 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
         except BadArchive as e:
             yield {"error": str(e)}
 
-    types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string())
+    types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+    types += (pa.string(),) * 4
     schema = pa.schema(list(zip(fields, types)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
