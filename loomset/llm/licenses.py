@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomset.functions import evaluate_once
 from loomset.llm.words import row_key
 
 #: The phrases that are always looked for, and their labels.
@@ -355,14 +356,17 @@ def scan(docs: DataFrame) -> DataFrame:
     def labels(of: Column) -> Column:
         return F.array_sort(F.array_distinct(F.transform(of, lambda t: F.get(label_of, t))))
 
-    return judged.select(
-        "doc_id",
-        "key",
-        "n_words",
-        F.size("begins").cast("bigint").alias("n_base"),
-        F.array_min("begins").alias("first_word"),
-        F.array_max("begins").alias("last_word"),
-        labels(F.filter("there", lambda t: t < base_size)).alias("base_labels"),
-        labels(F.col("there")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("there", score)), F.lit(0.0)).alias("score"),
+    # a filter on a result must not repeat the search below, once for each of its lambdas
+    return evaluate_once(
+        judged,
+        ["doc_id", "key"],
+        {
+            "n_words": F.col("n_words"),
+            "n_base": F.size("begins").cast("bigint"),
+            "first_word": F.array_min("begins"),
+            "last_word": F.array_max("begins"),
+            "base_labels": labels(F.filter("there", lambda t: t < base_size)),
+            "labels": labels(F.col("there")),
+            "score": F.coalesce(F.array_max(F.transform("there", score)), F.lit(0.0)),
+        },
     )
