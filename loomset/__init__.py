@@ -24,6 +24,7 @@ from loomset.operators import (
     profile_keys,
     quarantined,
     read_session,
+    read_sessions,
     session_slices,
     to_chat_messages,
     to_preference_examples,
@@ -73,6 +74,7 @@ __all__ = [
     "python_tokenizer",
     "quarantined",
     "read_session",
+    "read_sessions",
     "render_chatml",
     "route_table",
     "run_prep_job",

@@ -8,6 +8,7 @@ from loomset.operators.layout import (
     pack_sequences,
     packed_tokens,
     read_session,
+    read_sessions,
     session_slices,
     token_counts,
     truncate_to_length,
@@ -49,6 +50,7 @@ __all__ = [
     "profile_keys",
     "quarantined",
     "read_session",
+    "read_sessions",
     "session_slices",
     "split_key",
     "sums_before",

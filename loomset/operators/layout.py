@@ -193,10 +193,23 @@ def write_sessions(sessions: DataFrame, path: str) -> None:
 
 
 def read_session(spark: SparkSession, path: str, session_id: int) -> DataFrame:
-    """The rows of one session; the directories of others are not read."""
+    """The rows of one session; the directories of others are not read.
+
+    Each call lists all directories: take :func:`read_sessions` for more than a few.
+    """
     return spark.read.parquet(path).where(F.col("session_id") == session_id)
 
 
+def read_sessions(spark: SparkSession, path: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """The rows of sessions ``first`` to ``last``, that included, or of all from ``first`` on.
+
+    The directories are listed once and read in one scan, however many sessions there
+    are; those of other sessions are not read.
+    """
+    rows = spark.read.parquet(path).where(F.col("session_id") >= first)
+    return rows if last is None else rows.where(F.col("session_id") <= last)
+
+
 def calibration_sample(
     rows: DataFrame,
     n: int,

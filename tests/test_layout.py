@@ -14,6 +14,7 @@ from loomset import (
     packed_tokens,
     python_tokenizer,
     read_session,
+    read_sessions,
     session_slices,
     token_counts,
     truncate_to_length,
@@ -22,6 +23,7 @@ from loomset import (
 )
 from loomset.functions import BLANKS, split_tokens, token_slice
 from loomset.operators import global_ranks, sums_before
+from verify.queries import QUERIES
 
 COUNTS = "row_id bigint, n_tokens int"
 
@@ -157,6 +159,30 @@ def test_sessions_are_read_alone(spark, tmp_path):
     assert files and all("/session_id=1/" in f for f in files)
 
 
+def test_sessions_are_read_in_one_scan(spark, tmp_path):
+    sessions = session_slices(spark.range(0, 300).select(F.col("id").alias("seq_id")), effective_batch=2, max_steps=5)
+    path = str(tmp_path / "sessions")
+    write_sessions(sessions, path)
+    asked = {(0, None): range(30), (7, 21): range(7, 22), (29, 40): [29], (30, None): []}
+    for (first, last), there in asked.items():
+        rows = read_sessions(spark, path, first, last)
+        one_by_one = [r for i in there for r in read_session(spark, path, i).collect()]
+        assert _rows(rows) == sorted(map(tuple, one_by_one), key=repr) and len(one_by_one) == 10 * len(there)
+    plan = read_sessions(spark, path, 7, 21)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(session_id" in plan and plan.count("FileScan") == 1
+
+
+def test_session_query_reads_its_sessions_at_once(spark, tmp_path):
+    docs = spark.range(0, 6).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 100_000).alias("text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["session_slices"](spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    ends = got.groupBy("session_id").agg(F.min("step"), F.max("step"), F.sum(F.col("tok_to") - F.col("tok_from")))
+    # 100,001 tokens and a separator a document
+    total = 6 * 100_002
+    assert _rows(ends) == [(i, i * 100, min(i * 100 + 99, (total - 1) // 1024), min(total - i * 102_400, 102_400)) for i in range(6)]
+
+
 def test_samples_do_not_depend_on_the_files(spark):
     rows = [(i % 400, f"text {i % 90}", "abc"[i % 3]) for i in range(1200)]
     schema = "row_id bigint, text string, lang string"

@@ -32,7 +32,7 @@ from loomset import (
     profile_keys,
     python_tokenizer,
     quarantined,
-    read_session,
+    read_sessions,
     render_chatml,
     route_table,
     run_prep_job,
@@ -526,15 +526,11 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sessions of a long pass, written, and read one by one by their directories."""
+    """The sessions of a long pass, written, and read back by their directories in one scan."""
     packed = pack_sequences(counted(spark, sf_dir), 256, row_id="doc_id")
     path = shared_dir(spark)
     write_sessions(session_slices(packed, effective_batch=4, max_steps=100), path)
-    last = spark.read.parquet(path).agg(F.max("session_id")).first()[0]
-    rows = read_session(spark, path, 0)
-    for i in range(1, last + 1):
-        rows = rows.union(read_session(spark, path, i))
-    return rows.select(F.col("session_id").cast("bigint"), "step", "seq_id", "doc_id", "tok_from", "tok_to")
+    return read_sessions(spark, path).select(F.col("session_id").cast("bigint"), "step", "seq_id", "doc_id", "tok_from", "tok_to")
 
 
 def calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
