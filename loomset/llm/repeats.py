@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from loomset.llm import bitmap
 from loomset.llm.words import SPACED, Words, free, map_slices, normal, row_key, schema_with, stored, texts, without
+from loomset.sources import remove, shared_dir
 
 #: Words of a minimiser.
 SHORT = 5
@@ -133,23 +134,29 @@ def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
     A span is a maximal run of places whose windows of ``size`` words stand one after
     the other on one path of the source, a document with a smaller doc_id; ``words``
     counts the words under all of its windows.  ``key`` tells rows of one doc_id apart.  Rows with a NULL doc_id or
-    text have no spans.
+    text have no spans.  The spans are stored; what led to them is deleted as soon as the
+    next table stands.
     """
     if size < 3:
         raise ValueError("two nodes name the words of an edge if they share a word at least")
     base = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     keyed = base.select("doc_id", "text", _row())
-    bits = bitmap.build(stored(_repeated_minimisers(base, size)), "m")
+    spark = docs.sparkSession
+    short, firsts, ways, places_at = (shared_dir(spark) for _ in range(4))
+    bits = bitmap.build(stored(_repeated_minimisers(base, size), short), "m")
+    remove(spark, short)
     edges = _edges(keyed, size, bits)
     # any place of the edge in its source will do
     first = edges.groupBy("u", "v").agg(
         F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"), F.min_by("spot", "doc_id").alias("source_spot")
     )
-    first = stored(first.filter("source_id < last").drop("last"))
+    first = stored(first.filter("source_id < last").drop("last"), firsts)
     # an edge is one row of its path; the shuffles of the compaction are given back here
-    paths = stored(compacted(first))
+    paths = stored(compacted(first), ways)
+    remove(spark, firsts)
     found = edges.join(paths.hint("shuffle_hash"), ["u", "v"]).filter("doc_id > source_id")
-    found = stored(found.drop("u", "v"))
+    found = stored(found.drop("u", "v"), places_at)
+    remove(spark, ways)
     shift = F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)) - F.col("source_spot").bitwiseAND(F.lit((1 << 32) - 1))
     run = ["doc_id", "key", "source_id", "path", "shift"]
     places = found.select(
@@ -161,7 +168,9 @@ def repeated_spans(docs: DataFrame, size: int = 13) -> DataFrame:
         F.min("place").alias("start"), (F.max("place") - F.min("place") + size).alias("words")
     )
     at = (F.col("start") - F.col("shift")).alias("source_start")
-    return spans.select("doc_id", "key", "start", "words", "source_id", _key_of("path").alias("source_key"), at)
+    spans = stored(spans.select("doc_id", "key", "start", "words", "source_id", _key_of("path").alias("source_key"), at))
+    remove(spark, places_at)
+    return spans
 
 
 def _digests(text: bytes | None, spans: list[tuple[int, int]]) -> list[int]:
@@ -210,7 +219,7 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     other.  Windows are judged on the input.  ``kept`` joins words by one space.  A text
     is held whole, with about 60 bytes for each of its words.
     """
-    spans = _verified(docs, stored(repeated_spans(docs, size)))
+    spans = _verified(docs, repeated_spans(docs, size))
     cuts = spans.groupBy("doc_id", "key").agg(
         F.sort_array(F.collect_list(F.struct("start", "words", "digest"))).alias("cuts")
     )

@@ -102,8 +102,8 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder, or to ``path``, and read back.
 
     The shuffle files behind it are given back at once, since nothing reads them
     again: a lost executor does not bring back the work before this point.
@@ -112,7 +112,7 @@ def stored(df: DataFrame) -> DataFrame:
     with contextlib.ExitStack() as after:
         after.callback(conf.set, name, conf.get(name, "false"))
         conf.set(name, "true")
-        path = shared_dir(df.sparkSession)
+        path = path or shared_dir(df.sparkSession)
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

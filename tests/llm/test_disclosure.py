@@ -9,6 +9,7 @@ import pytest
 
 from loomset.llm import pii, quality_rules, repeats
 from loomset.llm.words import SPACED, Words, normal
+from loomset.sources import exists, scratch
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -213,6 +214,15 @@ def test_edges_are_compacted_up_to_branches(spark):
     assert gone == {1: (0, rows[0][1]), 2: (8, " ".join(two[:6] + two[14:])), 3: (20, "x"), 4: (40, "y")}
 
 
+def test_only_the_spans_stay_on_disk(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    with scratch(spark) as owned:
+        done = repeats.remove_repeats(_docs(spark, [(1, passage), (2, passage), (3, f"x {passage}")]))
+        # minimisers, sources, paths and places are gone before the texts are read again
+        assert len(owned) == 5 and len([p for p in owned if exists(spark, p)]) == 1
+        assert {r.doc_id: (r.n_removed, r.kept) for r in done.collect()} == {1: (0, passage), 2: (20, ""), 3: (20, "x")}
+
+
 def test_spans_that_are_not_in_their_source_stay(spark, monkeypatch):
     passage = " ".join(f"w{i}" for i in range(20))
     rows = [(1, passage), (2, passage), (3, "other words " * 10)]
