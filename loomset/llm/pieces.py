@@ -35,8 +35,8 @@ from loomset.llm.words import map_batches, schema_with, slices, without
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-#: Words whose paths a task keeps (about 250 bytes each); beyond that it starts anew.
-REMEMBERED = 350_000
+#: Words whose paths a task keeps (about 250 bytes each); beyond that the older half goes.
+REMEMBERED = 600_000
 #: How far below the worst piece an unknown character scores in a unigram model.
 UNKNOWN_PENALTY = 10.0
 
@@ -131,9 +131,11 @@ class Machine:
         if len(self._pairs) > REMEMBERED:
             self._pairs.clear()
 
+    def _squeezed(self, text: str) -> str:
+        return " ".join(filter(None, text.split(" "))) if self.squeeze else text
+
     def normal(self, text: str) -> str:
-        if self.squeeze:
-            text = " ".join(x for x in text.split(" ") if x)
+        text = self._squeezed(text)
         if not text:
             return ""
         return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
@@ -142,17 +144,17 @@ class Machine:
         """Ids of the pieces, as 32-bit numbers one after the other."""
         if not text:
             return b""
-        whole = self.normal(text)
         if not self.by_word or not self.prefix or SPACE in text:
-            return self._chunks(whole)
-        out = []
+            return self._chunks(self.normal(text))
+        out, text = [], self._squeezed(text)
         # a character that no piece spells parts its neighbours
-        lines = whole[1:].split("\n") if "\n" not in self.letters else [whole[1:]]
+        lines = text.split("\n") if "\n" not in self.letters else [text]
         for i, line in enumerate(lines):
             if i:
                 out.append(self.bare["\n"])
-            words = line.split(SPACE)
+            words = line.split(" ")
             if "" in words[1:] or (not i and not words[0]):
+                line = line.replace(" ", SPACE)
                 out.append(self._chunks(SPACE + line if not i else line))
                 continue
             if i:
@@ -207,55 +209,44 @@ class Machine:
         return out
 
     def _merged_path(self, s: str) -> list[int]:
-        """The path of finite weight: straight on where that works, else by search."""
-        n, pairs, out, at, last = len(s), self._pairs, [], 0, -1
+        """The path of finite weight: the longest arc first, back where none goes on."""
+        n, pairs = len(s), self._pairs
+        arcs: dict[int, list[tuple[int, int]]] = {}
+        path: list[tuple[int, int]] = []
+        ways, dead = [], set()
+        at, last = 0, -1
         while True:
-            for end, i in self._arcs(s, at):
-                if last < 0:
-                    fits = end < n or self._stands(i)
+            found = arcs.get(at)
+            if found is None:
+                found = arcs[at] = self._arcs(s, at)
+            way = iter(found)
+            while True:
+                for arc in way:
+                    end, i = arc
+                    if last < 0:
+                        fits = end < n or self._stands(i)
+                    else:
+                        both = last << 20 | i
+                        fits = pairs.get(both)
+                        if fits is None:
+                            fits = pairs[both] = self._fits(last, i)
+                    if fits and arc not in dead:
+                        break
                 else:
-                    both = last << 20 | i
-                    fits = pairs.get(both)
-                    if fits is None:
-                        fits = pairs[both] = self._fits(last, i)
-                if fits:
-                    break
-            else:
-                return self._searched_path(s)
-            out.append(i)
+                    if not path:
+                        # pieces that can't be reached by merging: what the merges leave
+                        return [i for p in self.merges(s) for i in self._ids_of(p)]
+                    dead.add(path.pop())
+                    way = ways.pop()
+                    last = path[-1][1] if path else -1
+                    continue
+                break
+            path.append(arc)
             if end == n:
-                return out
+                return [i for _, i in path]
+            ways.append(way)
             at, last = end, i
 
-    def _searched_path(self, s: str) -> list[int]:
-        n = len(s)
-        path: list[tuple[int, int]] = []
-        ways, dead = [iter(self._arcs(s, 0))], set()
-        pairs = self._pairs
-        while ways:
-            for arc in ways[-1]:
-                end, i = arc
-                if path:
-                    both = path[-1][1] << 20 | i
-                    fits = pairs.get(both)
-                    if fits is None:
-                        fits = self._fits(path[-1][1], i)
-                        pairs[both] = fits
-                else:
-                    fits = end < n or self._stands(i)
-                if fits and arc not in dead:
-                    path.append(arc)
-                    if end == n:
-                        return [i for _, i in path]
-                    ways.append(iter(self._arcs(s, end)))
-                    break
-            else:
-                ways.pop()
-                if path:
-                    dead.add(path.pop())
-        # pieces that can't be reached by merging: what the merges leave
-        return [i for p in self.merges(s) for i in self._ids_of(p)]
-
     def _ids_of(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
         return [i] if i is not None else self._fallback(piece)
@@ -335,25 +326,36 @@ class Machine:
 
     def plain(self, text: str) -> str:
         """What decoding brings back: the text after the normaliser."""
-        whole = self.normal(text).replace(SPACE, " ")
-        return whole[1:] if self.prefix and whole else whole
+        return self._squeezed(text).replace(SPACE, " ")
 
 
 class _Paths(dict):
-    """Packed ids of words, found when first asked for."""
+    """Packed ids of words, found when first asked for.
+
+    The words of late are held here, those before them in ``older``: when there are too
+    many, the ones go that were not asked for since the last time.
+    """
 
     def __init__(self, machine: Machine, front: str):
         super().__init__()
         self.machine, self.front = machine, front
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self.machine._packed(self.front + word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.machine._packed(self.front + word)
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
+            super().clear()
         if len(word) <= 64:
             self[word] = found
         return found
 
+    def clear(self) -> None:
+        super().clear()
+        self.older.clear()
+
 
 @lru_cache(maxsize=2)
 def _compiled(model: bytes) -> Machine:

@@ -147,6 +147,23 @@ def test_license_scan_runs_no_python(spark):
 # sentencepiece
 
 
+def test_words_in_use_are_remembered(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    machine, asked = pieces.Machine.read(model_bytes()), []
+    found = machine._packed
+    monkeypatch.setattr(machine, "_packed", lambda chunk: (asked.append(chunk), found(chunk))[1])
+    plain = {}
+    for i in range(100):
+        for word in ("the", f"w{i}"):
+            plain.setdefault(word, found(pieces.SPACE + word))
+            assert machine.encode(word) == plain[word]
+            assert len(machine.spaced) + len(machine.spaced.older) <= 20
+    # a word that comes again and again is searched for once, whatever else is dropped
+    assert asked.count(pieces.SPACE + "the") == 1 and len(asked) == 101
+    machine.forget()
+    assert not machine.spaced and not machine.spaced.older
+
+
 def test_pieces_are_those_of_the_library(spark, texts):
     model = model_bytes()
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
