@@ -38,12 +38,14 @@ SHRINK = 20
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 #: Each share, what has to hold besides for a high one to fail, and whether a low one can:
-#: one symbol, one repeated line or one window that comes twice is no pattern.
+#: one symbol, one repeated line or one window that comes twice is no pattern.  A text
+#: without a word has no shares (NULL): Spark computes what two rules share for every row,
+#: also for one that has failed already, and a division by zero would end the query.
 SHARES = {
-    "symbols": ("n_symbols / n_words", "n_symbols > 1", False),
-    "lines": ("n_dup_lines / n_lines", "n_dup_lines > 1", False),
-    "repeats": ("n_repeat_words / n_words", "n_repeat_words > 16", False),
-    "length": ("word_chars / n_words", "true", True),
+    "symbols": ("try_divide(n_symbols, n_words)", "n_symbols > 1", False),
+    "lines": ("try_divide(n_dup_lines, n_lines)", "n_dup_lines > 1", False),
+    "repeats": ("try_divide(n_repeat_words, n_words)", "n_repeat_words > 16", False),
+    "length": ("try_divide(word_chars, n_words)", "true", True),
 }
 _GAMMA = (1 + RELATIVE) / (1 - RELATIVE)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")

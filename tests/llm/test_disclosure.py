@@ -180,6 +180,22 @@ def test_repeats_below_the_fixed_limit_can_fail(spark):
     assert not strange.kept and not strange.base_failed and all(r.kept for r in found.values())
 
 
+def test_texts_without_a_word_fail_and_change_nothing(spark):
+    random.seed(11)
+    words = [f"w{i}" for i in range(4000)]
+    rows = [(i, " ".join(random.sample(words, 60)), "en", "s") for i in range(60)]
+    blank = [(100, None, "en", "s"), (101, "", "en", "s"), (102, " \n\t\n ", None, None), (103, "", "fr", "empty"), (104, " ## ", "en", "s")]
+    schema = "doc_id bigint, text string, lang string, source string"
+    found = {r.doc_id: r for r in quality_rules.judge(_docs(spark, rows + blank, schema)).collect()}
+    assert len(found) == len(rows + blank)
+    for doc_id, text, *_ in blank:
+        r, n = found.pop(doc_id), len((text or "").split())
+        assert (r.n_words, r.n_lines, r.base_failed, r.kept) == (n, n, True, False)
+    # the one word of the last belongs to the sketches
+    alone = quality_rules.judge(_docs(spark, rows + blank[-1:], schema)).filter("doc_id < 100").collect()
+    assert found == {r.doc_id: r for r in alone} and any(r.kept for r in alone)
+
+
 def test_a_group_of_any_size_has_thresholds_between_its_own_and_the_wider(spark):
     random.seed(10)
     words = [f"w{i}" for i in range(4000)]
